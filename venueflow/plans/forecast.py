@@ -57,3 +57,31 @@ def baseline_forecast(
     filled = lookup_baseline(rows, baseline, entity, context, levels=levels, level_name=level_name)
     out = ["id", entity, date, F.expm1("wmean").alias(measure)]
     return filled.select(*out, *([level_name] if level_name else []))
+
+
+def add_baseline_feature(
+    rows: DataFrame,
+    visits: DataFrame,
+    calendar: DataFrame,
+    entity: str = "store_id",
+    date: str = "visit_date",
+    measure: str = "visitors",
+    context: Sequence[str] = ("day_of_week", "holiday_flg"),
+    before=None,
+    name: str = "baseline_feature",
+) -> DataFrame:
+    """Add the baseline forecast as a feature to dated rows of either frame.
+
+    By default the baseline is fitted on all visits, so training rows see their own value. Give
+    ``before`` (a date) to fit on earlier visits only.
+    """
+    cal = weighted_calendar(calendar)
+    history = visits if before is None else visits.filter(F.col(date) < F.lit(before))
+    baseline = fit_baseline(history, cal, entity, date, measure, context)
+    added = [c for c in context if c not in rows.columns]
+    dated = enrich_with_calendar(rows, cal.drop("weight"), date)
+    if "month" in added:
+        dated = dated.withColumn("month", F.month(date))
+    filled = lookup_baseline(dated, baseline.withColumnRenamed("wmean", "_log"), entity, context, name="_log")
+    extra = [c for c in dated.columns if c not in rows.columns]
+    return filled.withColumn(name, F.expm1("_log")).drop("_log", *extra)

@@ -9,22 +9,19 @@ from pyspark.sql import types as T
 from venueflow.functions.columns import format_floats
 
 # Columns of the input tables.
-SCHEMAS: dict[str, T.StructType] = {
-    name: T.StructType.fromDDL(ddl)
-    for name, ddl in {
-        "air_visit_data": "air_store_id string, visit_date date, visitors int",
-        "air_store_info": "air_store_id string, air_genre_name string, air_area_name string,"
-        " latitude double, longitude double",
-        "hpg_store_info": "hpg_store_id string, hpg_genre_name string, hpg_area_name string,"
-        " latitude double, longitude double",
-        "air_reserve": "air_store_id string, visit_datetime timestamp, reserve_datetime timestamp,"
-        " reserve_visitors int",
-        "hpg_reserve": "hpg_store_id string, visit_datetime timestamp, reserve_datetime timestamp,"
-        " reserve_visitors int",
-        "store_id_relation": "air_store_id string, hpg_store_id string",
-        "date_info": "calendar_date date, day_of_week string, holiday_flg int",
-        "sample_submission": "id string, visitors double",
-    }.items()
+SCHEMAS: dict[str, str] = {
+    "air_visit_data": "air_store_id string, visit_date date, visitors int",
+    "air_store_info": "air_store_id string, air_genre_name string, air_area_name string,"
+    " latitude double, longitude double",
+    "hpg_store_info": "hpg_store_id string, hpg_genre_name string, hpg_area_name string,"
+    " latitude double, longitude double",
+    "air_reserve": "air_store_id string, visit_datetime timestamp, reserve_datetime timestamp,"
+    " reserve_visitors int",
+    "hpg_reserve": "hpg_store_id string, visit_datetime timestamp, reserve_datetime timestamp,"
+    " reserve_visitors int",
+    "store_id_relation": "air_store_id string, hpg_store_id string",
+    "date_info": "calendar_date date, day_of_week string, holiday_flg int",
+    "sample_submission": "id string, visitors double",
 }
 
 
@@ -47,8 +44,10 @@ def load_catalog(
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(folder)
-        .select(F.regexp_extract("path", r"^(.*/([^/.]+)\.csv)(/|$)", 1).alias("path"),
-                F.regexp_extract("path", r"^(.*/([^/.]+)\.csv)(/|$)", 2).alias("name"))
+        .select(
+            F.regexp_extract("path", r"^(.*?/([^/.]+)\.csv)(/|$)", 1).alias("path"),
+            F.regexp_extract("path", r"^(.*?/([^/.]+)\.csv)(/|$)", 2).alias("name"),
+        )
         .filter(F.col("name") != "")
         .distinct()
     )
