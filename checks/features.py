@@ -285,6 +285,11 @@ def _(t):
     return rounded_profile(profiles.date_parts(t.visits()), ["store_id", "dow"])
 
 
+@query("a3_profile_bracketed_median", profile_sql("store_id, dow", _PARTS))
+def _(t):
+    return rounded_profile(profiles.date_parts(t.visits()), ["store_id", "dow"], median="bracketed")
+
+
 @query("a4_area_weekday_profile", profile_sql("area_name, dow", _PLACED, "area_"))
 def _(t):
     return rounded_profile(placed_visits(t), ["area_name", "dow"], "area_")
@@ -474,7 +479,7 @@ def _(t):
 
 
 @query(
-    "f11_f14_numeric_functions",
+    "f11_f15_numeric_functions",
     """SELECT store_id, round(ln(1 + greatest(latitude, 0)), 6) AS log_value,
               round(exp(longitude / 10) - 1, 6) AS exp_value, round(pow(longitude / 25, 5), 6) AS power_value,
               round(least(greatest(latitude / 1000, 0), 6.8e0), 6) AS clipped, cast(longitude AS integer) AS whole,
@@ -548,11 +553,23 @@ def _(t):
     return scaled.withColumn("visitors", F.round("visitors", 6))
 
 
-@query("e5_feature_vector")
+@query(
+    "e5_feature_vector",
+    f"""SELECT store_id, visit_date, cast(7 AS integer) AS n_features,
+               round(dow + year + month + latitude + longitude + genre_name + area_name, 6) AS total
+        FROM (SELECT store_id, visit_date, isodow(visit_date) - 1 AS dow, year(visit_date) AS year,
+                     month(visit_date) AS month FROM visits)
+        JOIN (SELECT store_id, latitude, longitude, dense_rank() OVER (ORDER BY genre_name) - 1 AS genre_name,
+                     dense_rank() OVER (ORDER BY area_name) - 1 AS area_name FROM stores) USING (store_id)""",
+)
 def _(t):
     stores = encode.label_encode(t.stores(), ["genre_name", "area_name"])
     rows = profiles.attach(profiles.date_parts(t.visits()), stores, ["store_id"])
     columns = encode.feature_columns(rows, ["store_id", "visit_date", "visitors"])
+    vector = vector_to_array("features")
     return encode.assemble(rows, columns).select(
-        "store_id", "visit_date", vector_to_array("features").alias("features")
+        "store_id",
+        "visit_date",
+        F.size(vector).alias("n_features"),
+        F.round(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x), 6).alias("total"),
     )

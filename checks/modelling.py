@@ -9,6 +9,7 @@ from venueflow.operators.split import chronological_holdout
 from venueflow.plans import ensemble
 from venueflow.plans.features import feature_frames, model_columns
 from venueflow.plans.forecast import baseline_forecast
+from venueflow.plans.tuning import cross_validated_grid
 from venueflow.session import materialize
 
 ROUND = ("mean_visitors", "rs2_a", "rv2_a", "rs2_b", "rv2_b", "total_reserv_mean", "total_reserv_dt_diff_mean",
@@ -109,6 +110,68 @@ def _(t):
     return predictions(t, models.lasso())
 
 
+# One feature gives linear models a closed form that SQL can state.
+
+_ONE = """SELECT store_id, visit_date, visitors, ln(1 + visitors) AS y, avg(visitors) OVER (PARTITION BY store_id) AS x
+  FROM visits"""
+
+
+def one_feature(t):
+    means = t.visits().groupBy("store_id").agg(F.avg("visitors").alias("x"))
+    return t.visits().join(means, "store_id")
+
+
+def one_feature_predictions(t, estimator):
+    rows = one_feature(t)
+    out = models.predict_log(models.fit_log_target(estimator, rows, ["x"]), rows, "p")
+    return out.select("store_id", "visit_date", F.round("p", 6).alias("log_prediction"))
+
+
+@query(
+    "ml6_linear_one_feature",
+    f"""SELECT store_id, visit_date, round((SELECT regr_intercept(y, x) FROM ({_ONE})) + x * (SELECT regr_slope(y, x)
+        FROM ({_ONE})), 6) AS log_prediction FROM ({_ONE})""",
+)
+def _(t):
+    return one_feature_predictions(t, models.linear())
+
+
+@query(
+    "ml7_lasso_one_feature",
+    f"""WITH f AS (SELECT avg(x) AS mx, avg(y) AS my, covar_pop(y, x) AS c, var_pop(x) AS v FROM ({_ONE})),
+        g AS (SELECT mx, my, sign(c) * greatest(abs(c) - 0.1e0, 0) / v AS b FROM f)
+        SELECT store_id, visit_date, round(my + (x - mx) * b, 6) AS log_prediction FROM ({_ONE}), g""",
+)
+def _(t):
+    return one_feature_predictions(t, models.lasso(0.1))
+
+
+@query(
+    "ml9_log_target_predictions",
+    f"""SELECT store_id, visit_date, round(greatest(exp((SELECT regr_intercept(y, x) FROM ({_ONE}))
+        + x * (SELECT regr_slope(y, x) FROM ({_ONE}))) - 1, 0), 5) AS visitors FROM ({_ONE})""",
+)
+def _(t):
+    rows = one_feature(t)
+    out = models.predict_log(models.fit_log_target(models.linear(), rows, ["x"]), rows, "p")
+    return out.select("store_id", "visit_date", F.round(models.invert_log("p"), 5).alias("visitors"))
+
+
+@query(
+    "m2_custom_metric",
+    f"""WITH r AS (SELECT *, row_number() OVER (ORDER BY visit_date, store_id) AS r, count(*) OVER () AS n FROM ({_ONE})),
+        f AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM r WHERE r <= n - floor(n * 0.1e0))
+        SELECT 'linear' AS model, round(sqrt(avg(pow(y - a - b * x, 2))), 6) AS rmse FROM r, f
+        WHERE r > n - floor(n * 0.1e0)""",
+)
+def _(t):
+    flagged = materialize(chronological_holdout(one_feature(t), "visit_date", ["store_id"], 0.1), "flagged")
+    model = models.fit_log_target(models.linear(), flagged.filter("not is_validation"), ["x"])
+    held = models.predict_log(model, flagged.filter("is_validation"), "prediction")
+    score = evaluate.LogRmse().evaluate(held.withColumn(models.LOG_TARGET, F.log1p("visitors")))
+    return t.spark.createDataFrame([("linear", round(score, 6))], "model string, rmse double")
+
+
 CATEGORIES = ("store_code", "dow", "month", "genre_name", "area_name", "day_of_week")
 
 
@@ -120,30 +183,14 @@ def _(t):
     return out.select("id", models.invert_log("log_prediction").alias("visitors"))
 
 
-@query("ml9_log_target_predictions")
+@query("v5_model_grid")
 def _(t):
     train, _ = train_frame(t)
-    columns = model_columns(train)
-    model = models.fit_log_target(models.linear(), train, columns)
-    return models.predict_log(model, train, "log_prediction").select(
-        "id", "visitors", "log_prediction", models.invert_log("log_prediction").alias("prediction")
+    return cross_validated_grid(
+        models.linear(), {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 1.0]}, train, model_columns(train), "id", 3
     )
 
 
-@query("m2_custom_metric")
-def _(t):
-    train, _ = train_frame(t)
-    columns = model_columns(train)
-    flagged = materialize(chronological_holdout(train, "visit_date", ["store_id"], 0.1), "flagged")
-    rows = []
-    for name, estimator in (("linear", models.linear()), ("lasso", models.lasso())):
-        model = models.fit_log_target(estimator, flagged.filter("not is_validation"), columns)
-        held = models.predict_log(model, flagged.filter("is_validation"), "prediction")
-        score = evaluate.LogRmse().evaluate(held.withColumn("log_target", F.log1p("visitors")))
-        rows.append((name, float(score)))
-    return t.spark.createDataFrame(rows, "model string, rmse double")
-
-
 @query("e7_split_importance")
 def _(t):
     train, _ = train_frame(t)

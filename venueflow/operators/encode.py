@@ -5,31 +5,33 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from venueflow.functions.columns import separate_words, token
 from venueflow.operators.position import with_position
-from venueflow.session import SMALL_SIDE_ROWS, broadcast_if_small, materialize
+from venueflow.session import SMALL_SIDE_ROWS, materialize
 
 
 def fit_label_codes(df: DataFrame, columns: Sequence[str], missing: str = "nan") -> DataFrame:
     """Vocabulary table (column, label, code): the sorted distinct labels of each column as 0..n-1.
 
-    The vocabulary is sorted by Spark and never collected, so it may be as large as an entity key.
-    All columns share one pass and one sort.
+    All columns share one pass. The vocabulary is written once and never collected: a small one is
+    numbered by a window per column, a large one (an entity key) by a range-partitioned sort.
     """
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias("label")) for c in columns]
     )
-    vocabulary = df.select(F.explode(pairs).alias("p")).select("p.column", "p.label").distinct()
+    distinct = df.select(F.explode(pairs).alias("p")).select("p.column", "p.label").distinct()
+    vocabulary = materialize(distinct, "vocabulary")
+    if vocabulary.count() <= SMALL_SIDE_ROWS:
+        rank = F.row_number().over(Window.partitionBy("column").orderBy("label"))
+        return vocabulary.withColumn("code", rank - 1)
     placed = with_position(vocabulary, ["column", "label"])
-    first = placed.groupBy("column").agg(F.min("position").alias("_first"))
-    # first has one row per encoded column.
-    codes = placed.join(F.broadcast(first), "column").select(
-        "column", "label", (F.col("position") - F.col("_first")).cast("int").alias("code")
-    )
-    return materialize(codes, "codes")
+    # One row per encoded column.
+    first = F.broadcast(placed.groupBy("column").agg(F.min("position").alias("_first")))
+    code = (F.col("position") - F.col("_first")).cast("int").alias("code")
+    return materialize(placed.join(first, "column").select("column", "label", code), "codes")
 
 
 def apply_label_codes(
@@ -42,21 +44,20 @@ def apply_label_codes(
 ) -> DataFrame:
     """Replace (or add under ``names``) columns by their codes.
 
-    ``unseen='error'`` fails the job on a label outside the vocabulary; ``'keep'`` gives it the
+    The codes are read from files, so Spark knows their size: it broadcasts a small vocabulary and
+    shuffles for a large one. ``unseen='error'`` fails the job on a label outside the vocabulary; ``'keep'`` gives it the
     next free code.
     """
     if unseen not in ("error", "keep"):
         raise ValueError("unseen must be 'error' or 'keep'")
     sizes = codes.groupBy("column").agg((F.max("code") + 1).alias("size"))
-    # One count decides for all columns: the codes table is materialized and holds them all.
-    hint = F.broadcast if codes.limit(SMALL_SIDE_ROWS + 1).count() <= SMALL_SIDE_ROWS else lambda side: side
     out = df
     for c, target in zip(columns, names or columns):
         side = codes.filter(F.col("column") == c).select(
             F.col("label").alias(f"_label_{c}"), F.col("code").alias(f"_code_{c}")
         )
         label = F.coalesce(F.col(c).cast("string"), F.lit(missing))
-        out = out.join(hint(side), label == F.col(f"_label_{c}"), "left")
+        out = out.join(side, label == F.col(f"_label_{c}"), "left")
         if unseen == "error":
             fallback = F.raise_error(F.concat(F.lit(f"label not seen when fitting {c}: "), label)).cast("int")
         else:
@@ -88,32 +89,38 @@ def encode_tokens(df: DataFrame, separators: dict[str, str], k: int = 10) -> Dat
     for column, separator in separators.items():
         df = expand_tokens(df, column, separator, k)
     names = [n for c in separators for n in [c, *(f"{c}{i}" for i in range(k))]]
-    codes = broadcast_if_small(fit_label_codes(df, names))
+    codes = fit_label_codes(df, names)
     cells = F.explode(F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("label")) for n in names]))
     long = df.select(*keys, cells.alias("c")).select(*keys, "c.column", "c.label")
     coded = long.join(codes, ["column", "label"])
     return coded.groupBy(*keys).pivot("column", names).agg(F.max("code"))
 
 
-def min_max_scale(train: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Scale ``other`` by the minimum and range of ``train``, without clipping.
-
-    A column that is constant in ``train`` is only shifted (its range counts as 1).
-    """
-    stats = train.agg(
+def column_bounds(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: a struct with the minimum and maximum of each column."""
+    return train.agg(
         F.struct(
             *[F.min(F.col(c).cast("double")).alias(f"{c}_lo") for c in columns],
             *[F.max(F.col(c).cast("double")).alias(f"{c}_hi") for c in columns],
-        ).alias("s")
+        ).alias("bounds")
     )
-    marked = other.withColumn("_s", stats.scalar())
+
+
+def scale_by(bounds: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Scale columns by fitted bounds, without clipping; a zero range counts as 1."""
+    marked = df.withColumn("_b", bounds.scalar())
 
     def scaled(c):
-        lo, hi = F.col("_s").getField(f"{c}_lo"), F.col("_s").getField(f"{c}_hi")
+        lo, hi = F.col("_b").getField(f"{c}_lo"), F.col("_b").getField(f"{c}_hi")
         span = F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo)
         return (F.col(c).cast("double") - lo) / span
 
-    return marked.withColumns({c: scaled(c) for c in columns}).drop("_s")
+    return marked.withColumns({c: scaled(c) for c in columns}).drop("_b")
+
+
+def min_max_scale(train: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Scale ``other`` by the minimum and range of ``train``."""
+    return scale_by(column_bounds(train, columns), other, columns)
 
 
 def fill_sentinel(df: DataFrame, value: int = -1) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venueflow.functions.columns import clip
-from venueflow.operators.encode import min_max_scale
+from venueflow.operators.encode import column_bounds, scale_by
+from venueflow.session import materialize
 
 LOG_TARGET = "log_target"
 LOG_CEILING = 6.8  # fixed value: upper clip of the factor model's log prediction
@@ -72,20 +73,26 @@ class FactorModel:
         self.categorical = list(categorical)
         self.settings = dict(factorSize=factors, maxIter=rounds, stepSize=step, seed=seed)
 
+    def _inputs(self, df: DataFrame) -> DataFrame:
+        # Scaled copies and codes moved up by one, so that a -1 sentinel is a category of its own.
+        scaled = scale_by(self.bounds, df.withColumns({f"_n_{c}": F.col(c) for c in self.numeric}), self._numeric())
+        return scaled.withColumns({f"_c_{c}": F.col(c) + 1 for c in self.categorical})
+
+    def _numeric(self) -> list[str]:
+        return [f"_n_{c}" for c in self.numeric]
+
     def fit(self, train: DataFrame, target: str = "visitors") -> "FactorModel":
-        self.train = train
-        rows = min_max_scale(train, train, self.numeric).withColumn(LOG_TARGET, F.log1p(F.col(target)))
-        hot = [f"{c}_hot" for c in self.categorical]
-        self.model = Pipeline(
-            stages=[
-                OneHotEncoder(inputCols=self.categorical, outputCols=hot, handleInvalid="keep", dropLast=False),
-                VectorAssembler(inputCols=[*self.numeric, *hot], outputCol="features"),
-                FMRegressor(labelCol=LOG_TARGET, **self.settings),
-            ]
-        ).fit(rows)
+        raw = train.select([F.col(c).alias(f"_n_{c}") for c in self.numeric])
+        self.bounds = materialize(column_bounds(raw, self._numeric()), "bounds")
+        codes, hot = ([f"{p}{c}" for c in self.categorical] for p in ("_c_", "_hot_"))
+        stages = [
+            OneHotEncoder(inputCols=codes, outputCols=hot, handleInvalid="keep", dropLast=False),
+            VectorAssembler(inputCols=[*self._numeric(), *hot], outputCol="features"),
+            FMRegressor(labelCol=LOG_TARGET, **self.settings),
+        ]
+        self.model = Pipeline(stages=stages).fit(self._inputs(train).withColumn(LOG_TARGET, F.log1p(F.col(target))))
         return self
 
     def predict_log(self, df: DataFrame, name: str) -> DataFrame:
-        scaled = min_max_scale(self.train, df.withColumns({f"_raw_{c}": F.col(c) for c in self.numeric}), self.numeric)
-        out = predict_log(self.model, scaled, name, 0, LOG_CEILING)
-        return out.withColumns({c: F.col(f"_raw_{c}") for c in self.numeric}).drop(*[f"_raw_{c}" for c in self.numeric])
+        out = predict_log(self.model, self._inputs(df), name, 0, LOG_CEILING)
+        return out.select(*df.columns, name)

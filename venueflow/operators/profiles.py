@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from venueflow.functions.columns import day, lead_days, weekday
@@ -20,23 +20,71 @@ def profile(
     measure: str = "visitors",
     prefix: str = "",
     count_nulls: bool = False,
-    approximate_median: int | None = None,
+    median: str = "exact",
+    accuracy: int = 1000,
 ) -> DataFrame:
-    """Minimum, mean, median, maximum and count of a measure per key, in one aggregation.
+    """Minimum, mean, median, maximum and count of a measure per key.
 
-    The exact median keeps one counter per distinct value of a group (small for daily counts).
-    ``count_nulls`` counts rows instead of values; ``approximate_median`` sets the accuracy of
-    percentile_approx for measures with very many distinct values.
+    ``median='exact'`` takes one aggregation and keeps a counter per distinct value of a group,
+    which suits daily counts. ``'bracketed'`` is exact too, for measures with very many distinct
+    values in a group: see ``bracketed_median``. ``'approximate'`` is percentile_approx.
+    ``count_nulls`` counts rows instead of values.
     """
     m = F.col(measure)
-    median = F.median(m) if approximate_median is None else F.percentile_approx(m, 0.5, approximate_median).cast("double")
-    return df.groupBy(*keys).agg(
+    median_name = f"{prefix}median_{measure}"
+    middle = {
+        "exact": F.median(m),
+        "approximate": F.percentile_approx(m, 0.5, accuracy).cast("double"),
+        "bracketed": F.lit(None).cast("double"),
+    }[median]
+    out = df.groupBy(*keys).agg(
         F.min(m).alias(f"{prefix}min_{measure}"),
         F.avg(m).alias(f"{prefix}mean_{measure}"),
-        median.alias(f"{prefix}median_{measure}"),
+        middle.alias(median_name),
         F.max(m).alias(f"{prefix}max_{measure}"),
         F.count(F.lit(1) if count_nulls else m).alias(f"{prefix}count_observations"),
     )
+    if median != "bracketed":
+        return out
+    exact = bracketed_median(df, keys, measure, "_median", accuracy)
+    return out.join(exact, list(keys), "left").withColumn(median_name, F.col("_median")).drop("_median")
+
+
+def bracketed_median(
+    df: DataFrame, keys: Sequence[str], measure: str, name: str = "median", accuracy: int = 1000
+) -> DataFrame:
+    """Exact interpolated median per key that never holds a group's values in one task.
+
+    A mergeable sketch brackets the middle, everything below the bracket is only counted, and the
+    values inside it (about 4/accuracy of the group) are counted per distinct value and ranked.
+    Rows with a missing key are left out.
+    """
+    rows = df.dropna(subset=[*keys, measure]).select(*keys, F.col(measure).alias("_v"))
+    edge = 2.0 / accuracy
+    sketch = rows.groupBy(*keys).agg(
+        F.count("_v").alias("_n"), F.percentile_approx("_v", [0.5 - edge, 0.5 + edge], accuracy).alias("_b")
+    )
+    low, high = F.element_at("_b", 1), F.element_at("_b", 2)
+    inside = rows.join(sketch, list(keys)).filter(F.col("_v") <= high)
+    counts = (
+        inside.withColumn("_value", F.when(F.col("_v") >= low, F.col("_v")))
+        .groupBy(*keys, "_n", "_value")
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    in_order = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_value"))
+    before = F.coalesce(F.sum("_c").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumn("_before", before)
+
+    def holds(rank: Column) -> Column:
+        return ((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c"))).cast("int")
+
+    hits = holds(F.floor((F.col("_n") - 1) / 2)) + holds(F.floor(F.col("_n") / 2))
+    return (
+        counts.withColumn("_hits", hits)
+        .filter("_hits > 0")
+        .groupBy(*keys)
+        .agg((F.sum(F.col("_value") * F.col("_hits")) / 2).alias(name))
+    )
 
 
 def attach(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

@@ -44,11 +44,13 @@ def feature_frames(
     far_only: bool = True,
     grouped: str | None = None,
     tokens: int = 10,
+    unseen: str = "error",
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test), one row per store and date with every feature column, sentinel-filled.
 
     ``how='inner'`` drops history of stores outside the targets, ``'left'`` keeps it. ``grouped``
-    adds area and genre profiles per weekday (``'weekday'``) or month and weekday (``'month'``).
+    adds area and genre profiles per weekday (``'weekday'``) or month and weekday (``'month'``). A target store without any history fails the
+    job, or gets the next free code with ``unseen='keep'``.
     """
     wanted = parse_targets(targets)
     history = profiles.date_parts(visits)
@@ -69,15 +71,17 @@ def feature_frames(
         prefix = "area_" if keys[0] == "area_name" else "genre_"
         group_tables.append((keys, materialize(profiles.profile(placed, keys, prefix=prefix), prefix + "profile")))
 
-    def frame(rows: DataFrame, join: str) -> DataFrame:
+    # Stores with history, read off the grid instead of aggregating the visits once more.
+    seen = grid.filter(F.col("count_observations").isNotNull())
+
+    def frame(rows: DataFrame, join: str, held: DataFrame) -> DataFrame:
         out = enrich_with_calendar(rows, days, "visit_date")
         out = profiles.attach(out, grid, ["store_id", "dow"], join)
         for keys, table in group_tables:
             out = profiles.attach(out, table, keys)
         out = profiles.attach(out, bookings, ["store_id", "visit_date"])
         out = profiles.reservation_totals(out)
-        # Maxima over the stores this frame holds, from the attribute table instead of the joined rows.
-        held = profiles.only_known(attributes, rows.select("store_id").distinct(), "store_id")
+        # Maxima over the stores this frame holds, from a store table instead of the joined rows.
         out = profiles.distance_to_max(out, {"latitude": "var_max_lat", "longitude": "var_max_long"}, held)
         return out.withColumns(
             {
@@ -87,12 +91,11 @@ def feature_frames(
             }
         )
 
-    train, test = frame(history, how), frame(horizon.drop("id"), "left")
-    fitted_on = profiles.only_known(visits, wanted, "store_id") if how == "inner" else visits
-    codes = encode.fit_label_codes(fitted_on.select("store_id").distinct(), ["store_id"])
+    train, test = frame(history, how, seen), frame(horizon.drop("id"), "left", attributes)
+    codes = encode.fit_label_codes(seen if how == "inner" else visits, ["store_id"])
     train, test = (
         encode.fill_sentinel(encode.apply_label_codes(f, codes, ["store_id"], ["store_code"], unseen))
-        for f, unseen in ((train, "error"), (test, "keep"))
+        for f in (train, test)
     )
     return train, test
 
