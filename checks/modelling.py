@@ -17,8 +17,10 @@ ROUND = ("mean_visitors", "rs2_a", "rv2_a", "rs2_b", "rv2_b", "total_reserv_mean
 
 
 def frames(t, **options):
+    # The visits are an input table of the plan; here they are derived once and written.
+    visits = materialize(t.visits(), "visits")
     return feature_frames(
-        t.visits(), t.stores(), t.calendar(), t.targets(), t.reservations_a(), t.reservations_b(), t.relation(), **options
+        visits, t.stores(), t.calendar(), t.targets(), t.reservations_a(), t.reservations_b(), t.relation(), **options
     )
 
 

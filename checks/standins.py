@@ -32,9 +32,13 @@ class Standins:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+        self._span = None
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def visits(self) -> DataFrame:
         daily = (
@@ -94,10 +98,12 @@ class Standins:
 
     def last_visit(self):
         """First and last visit date: one row."""
-        return self.table("lineitem").agg(
-            F.min("l_shipdate").cast("date").alias("first_day"),
-            F.max("l_shipdate").cast("date").alias("last_day"),
-        ).first()
+        if self._span is None:
+            self._span = self.table("lineitem").agg(
+                F.min("l_shipdate").cast("date").alias("first_day"),
+                F.max("l_shipdate").cast("date").alias("last_day"),
+            ).first()
+        return self._span
 
     def calendar(self) -> DataFrame:
         span = self.last_visit()

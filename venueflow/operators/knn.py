@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 
 from venueflow.session import materialize
 
-BLOCK_ROWS = 4096  # rows of either side compared in one group
+BLOCK_ROWS = 8192  # rows of either side compared in one group
+QUERY_CHUNK = 256  # queries ranked at a time inside a block
+EXACT_CHUNK = 100_000  # candidate pairs measured at a time
 MAX_PIVOTS = 256
 
 
@@ -115,6 +117,40 @@ def _with_visits(queries: DataFrame, vector: str, fold: str | None, pivots, summ
     return queries.mapInArrow(choose, schema)
 
 
+def _block_nearest(p: np.ndarray, q: np.ndarray, order: np.ndarray, k: int, folds=None):
+    """(query row, point row, squared distance) of the k best points per query within one block.
+
+    A matrix product ranks roughly; every point within its rounding error of the k-th is measured
+    again by plain differences, so the result is exact, ties included.
+    """
+    eps, dims = np.finfo(float).eps, p.shape[1]
+    centre = p.mean(axis=0)
+    pc, qc = p - centre, q - centre
+    p_sq, q_sq = (pc * pc).sum(axis=1), (qc * qc).sum(axis=1)
+    reach = np.sqrt(p_sq.max()) + np.sqrt(q_sq)
+    largest = max(np.abs(p).max(), np.abs(q).max())
+    slack = 8 * eps * ((dims + 4) * reach * reach + np.sqrt(dims) * largest * reach)
+    found = []
+    for at in range(0, len(q), QUERY_CHUNK):
+        rows = slice(at, at + QUERY_CHUNK)
+        rough = p_sq[None, :] + q_sq[rows, None] - 2 * qc[rows] @ pc.T
+        if folds is not None:
+            rough[folds[1][rows, None] == folds[0][None, :]] = np.inf
+        edge = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(p) > k else np.full(len(rough), np.inf)
+        qi, pi = np.nonzero((rough <= (edge + 2 * slack[rows])[:, None]) & np.isfinite(rough))
+        qi += at
+        sq = np.empty(len(qi))
+        for c in range(0, len(qi), EXACT_CHUNK):
+            part = slice(c, c + EXACT_CHUNK)
+            sq[part] = ((p[pi[part]] - q[qi[part]]) ** 2).sum(axis=1)
+        best = np.lexsort((order[pi], sq, qi))
+        qi, pi, sq = qi[best], pi[best], sq[best]
+        first = np.searchsorted(qi, qi, side="left")
+        keep = np.arange(len(qi)) - first < k
+        found.append((qi[keep], pi[keep], sq[keep]))
+    return tuple(np.concatenate(parts) for parts in zip(*found))
+
+
 def nearest(
     queries: DataFrame,
     train: DataFrame,
@@ -167,28 +203,20 @@ def nearest(
             return pa.Table.from_pylist([], schema=pa.schema([
                 (query_id, asked.schema.field(query_id).type), (train_id, points.schema.field(train_id).type),
                 ("_sq", pa.float64()), (payload, points.schema.field(payload).type)]))
-        p, q = _matrix(points.column(vector)), _matrix(asked.column(vector))
         ids = points.column(train_id).to_numpy()
         order = np.unique(ids, return_inverse=True)[1]
+        folds = None
         if fold:
-            p_fold = np.array(points.column(fold).to_pylist())
-            q_fold = asked.column(fold).to_pylist()
-        q_at, p_at, sq = [], [], []
-        for i in range(len(q)):
-            d = ((p - q[i]) ** 2).sum(axis=1)
-            if fold:
-                d[p_fold == q_fold[i]] = np.inf
-            edge = np.partition(d, k - 1)[k - 1] if len(d) > k else np.inf
-            near = np.flatnonzero((d <= edge) & np.isfinite(d))
-            near = near[np.lexsort((order[near], d[near]))][:k]
-            q_at.append(np.full(len(near), i))
-            p_at.append(near)
-            sq.append(d[near])
-        q_at, p_at = np.concatenate(q_at), np.concatenate(p_at)
+            both = [*points.column(fold).to_pylist(), *asked.column(fold).to_pylist()]
+            codes = np.unique(both, return_inverse=True)[1]
+            folds = codes[: points.num_rows], codes[points.num_rows :]
+        q_at, p_at, sq = _block_nearest(
+            _matrix(points.column(vector)), _matrix(asked.column(vector)), order, k, folds
+        )
         return pa.table({
             query_id: asked.column(query_id).take(pa.array(q_at)),
             train_id: points.column(train_id).take(pa.array(p_at)),
-            "_sq": np.concatenate(sq),
+            "_sq": sq,
             payload: points.column(payload).take(pa.array(p_at)),
         })
 

@@ -32,6 +32,37 @@ def weekday_calendar_codes(calendar: DataFrame) -> DataFrame:
     return encode.label_encode(calendar, ["day_of_week"])
 
 
+def weekday_profiles(history: DataFrame, measure: str = "visitors") -> DataFrame:
+    """One row per store with history: a map from weekday to that weekday's profile (7 entries)."""
+    by_weekday = profiles.profile(history, ["store_id", "dow"], measure)
+    values = [c for c in by_weekday.columns if c not in ("store_id", "dow")]
+    entry = F.struct("dow", F.struct(*values).alias("profile"))
+    return by_weekday.groupBy("store_id").agg(F.map_from_entries(F.collect_list(entry)).alias("weekdays"))
+
+
+def store_table(
+    history: DataFrame, stores: DataFrame, wanted: DataFrame, how: str, tokens: int
+) -> tuple[DataFrame, list[str]]:
+    """Everything known per store in one row, and the names of the weekday profile columns.
+
+    Attributes and profiles are given for the stores to predict only. The store's own code covers
+    the training stores: the predicted ones with history, or all with history for ``how='left'``.
+    """
+    weekly = materialize(weekday_profiles(history), "weekly")
+    attributes = store_features(stores, wanted, tokens)
+    table = wanted.select("store_id").distinct().join(attributes, "store_id", "left")
+    table = table.withColumn("is_target", F.lit(True))
+    table = table.join(weekly, "store_id", "left" if how == "inner" else "full")
+    if how == "left":
+        table = table.withColumn("is_target", F.coalesce("is_target", F.lit(False)))
+    fitted_on = profiles.only_known(weekly, wanted, "store_id") if how == "inner" else weekly
+    codes = encode.fit_label_codes(fitted_on.select("store_id"), ["store_id"])
+    table = table.join(codes.select(F.col("label").alias("store_id"), F.col("code").alias("store_code")), "store_id", "left")
+    table = table.withColumn("weekdays", F.when(F.col("is_target"), F.col("weekdays")))
+    profile_columns = [f.name for f in weekly.schema["weekdays"].dataType.valueType.fields]
+    return materialize(table, "stores"), profile_columns
+
+
 def feature_frames(
     visits: DataFrame,
     stores: DataFrame,
@@ -54,50 +85,51 @@ def feature_frames(
     """
     wanted = parse_targets(targets)
     history = profiles.date_parts(visits)
-    horizon = profiles.date_parts(wanted)
-
-    attributes = materialize(store_features(stores, wanted, tokens), "stores")
-    by_weekday = profiles.profile(history, ["store_id", "dow"])
-    grid = profiles.attach(profiles.entity_weekday_grid(wanted), by_weekday, ["store_id", "dow"])
-    grid = materialize(profiles.attach(grid, attributes, ["store_id"]), "grid")
+    horizon = profiles.date_parts(wanted.drop("id"))
 
+    table, profile_columns = store_table(history, stores, wanted, how, tokens)
     days = materialize(weekday_calendar_codes(calendar), "days")
     own_b = profiles.translate_partner_ids(reservations_b, relation)
     bookings = materialize(profiles.paired_reservation_features(reservations_a, own_b, far_only=far_only), "bookings")
 
     group_tables = []
     for keys in GROUPED[grouped] if grouped else ():
-        placed = profiles.attach(history, attributes.select("store_id", keys[0]), ["store_id"], "inner")
+        placed = profiles.attach(history, table.filter("is_target").select("store_id", keys[0]), ["store_id"], "inner")
         prefix = "area_" if keys[0] == "area_name" else "genre_"
         group_tables.append((keys, materialize(profiles.profile(placed, keys, prefix=prefix), prefix + "profile")))
+    next_code = table.select(F.max("store_code") + 1)
 
-    # Stores with history, read off the grid instead of aggregating the visits once more.
-    seen = grid.filter(F.col("count_observations").isNotNull())
-
-    def frame(rows: DataFrame, join: str, held: DataFrame) -> DataFrame:
+    def frame(rows: DataFrame, side: DataFrame, join: str) -> DataFrame:
         out = enrich_with_calendar(rows, days, "visit_date")
-        out = profiles.attach(out, grid, ["store_id", "dow"], join)
-        for keys, table in group_tables:
-            out = profiles.attach(out, table, keys)
+        # One join brings attributes, weekday profiles and code of a store.
+        out = profiles.attach(out, side, ["store_id"], join)
+        today = F.element_at("weekdays", F.col("dow"))
+        out = out.withColumns({c: today.getField(c) for c in profile_columns})
+        if unseen == "error":
+            message = F.concat(F.lit("store without history: "), F.col("store_id"))
+            code = F.coalesce("store_code", F.raise_error(message).cast("int"))
+        else:
+            code = F.coalesce("store_code", next_code.scalar())
+        out = out.withColumn("store_code", code).drop("weekdays", "is_target")
+        for keys, grouped_profile in group_tables:
+            out = profiles.attach(out, grouped_profile, keys)
         out = profiles.attach(out, bookings, ["store_id", "visit_date"])
         out = profiles.reservation_totals(out)
-        # Maxima over the stores this frame holds, from a store table instead of the joined rows.
+        # Maxima over the stores this frame holds, from the store table instead of the joined rows.
+        held = side if join == "left" else side.filter(F.col("weekdays").isNotNull())
         out = profiles.distance_to_max(out, {"latitude": "var_max_lat", "longitude": "var_max_long"}, held)
-        return out.withColumns(
+        out = out.withColumns(
             {
                 "lon_plus_lat": F.col("longitude") + F.col("latitude"),
                 "date_int": date_int("visit_date"),
                 "id": make_id("store_id", "visit_date"),
             }
         )
+        return encode.fill_sentinel(out)
 
-    train, test = frame(history, how, seen), frame(horizon.drop("id"), "left", attributes)
-    codes = encode.fit_label_codes(seen if how == "inner" else visits, ["store_id"])
-    train, test = (
-        encode.fill_sentinel(encode.apply_label_codes(f, codes, ["store_id"], ["store_code"], unseen))
-        for f in (train, test)
-    )
-    return train, test
+    predicted = table.filter("is_target")
+    train = frame(history, predicted if how == "inner" else table, how)
+    return train, frame(horizon, predicted, "left")
 
 
 def model_columns(train: DataFrame, also_exclude: Sequence[str] = ()) -> list[str]:
