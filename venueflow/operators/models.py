@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from venueflow.functions.columns import clip
 from venueflow.operators.encode import column_bounds, scale_by
-from venueflow.session import materialize
+from venueflow.session import materialize, shared_folder
 
 LOG_TARGET = "log_target"
 LOG_CEILING = 6.8  # fixed value: upper clip of the factor model's log prediction
@@ -45,7 +45,11 @@ def lasso(alpha: float = 0.1) -> LinearRegression:
 def fit_log_target(
     estimator: Estimator, train: DataFrame, columns: Sequence[str], target: str = "visitors"
 ) -> PipelineModel:
-    """Fit on log1p(target) over assembled numeric columns."""
+    """Fit on log1p(target) over assembled numeric columns.
+
+    Boosting cuts its growing lineage by checkpoints, so the shared folder is set before fitting.
+    """
+    shared_folder(train.sparkSession)
     rows = train.withColumn(LOG_TARGET, F.log1p(F.col(target)))
     return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features"), estimator]).fit(rows)
 
