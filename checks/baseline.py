@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from venueflow.operators.baseline import enrich_with_calendar, lookup_baseline, mean_of_means, sweep_exponents
 from venueflow.operators.calendar import clear_weekend_holidays, with_recency_weights
-from venueflow.plans.forecast import baseline_forecast, fit_baseline, parse_targets, weighted_calendar
+from venueflow.plans.forecast import baseline_forecast, fit_baseline, weighted_calendar
+from venueflow.plans.runs import baseline_run
+from venueflow.session import new_shared_path
+from venueflow.sources.tables import read_table, write_csv
 
 
 @query("p8_weekend_holidays", "SELECT calendar_date, day_of_week, holiday_flg FROM weekday_calendar")
@@ -117,3 +120,13 @@ def _(t):
     return wide.select("n_scored", long.alias("s")).select(
         "s.exponent", "n_scored", F.round("s.rmsle", 6).alias("rmsle")
     )
+
+
+@query("s4_baseline_run_from_csv", "SELECT id, printf('%.4f', visitors) AS visitors FROM forecast")
+def _(t):
+    folder = new_shared_path(t.spark, "inputs")
+    write_csv(t.visits().withColumnRenamed("store_id", "air_store_id"), f"{folder}/air_visit_data.csv")
+    write_csv(t.calendar(), f"{folder}/date_info.csv")
+    write_csv(t.targets(), f"{folder}/sample_submission.csv")
+    baseline_run(t.spark, folder, f"{folder}/forecast")
+    return read_table(t.spark, f"{folder}/forecast", "id string, visitors string")

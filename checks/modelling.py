@@ -9,6 +9,7 @@ from venueflow.operators.split import chronological_holdout
 from venueflow.plans import ensemble
 from venueflow.plans.features import feature_frames, model_columns
 from venueflow.plans.forecast import baseline_forecast
+from venueflow.plans.runs import CATEGORIES
 from venueflow.plans.tuning import cross_validated_grid
 from venueflow.session import materialize
 
@@ -174,9 +175,6 @@ def _(t):
     return t.spark.createDataFrame([("linear", round(score, 6))], "model string, rmse double")
 
 
-CATEGORIES = ("store_code", "dow", "month", "genre_name", "area_name", "day_of_week")
-
-
 @query("ml8_factor_model")
 def _(t):
     train, test = train_frame(t)

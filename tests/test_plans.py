@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from venueflow.operators import models
-from venueflow.plans import ensemble
+from venueflow.plans import ensemble, runs
 from venueflow.plans.features import feature_frames, model_columns
 from venueflow.session import materialize
+from venueflow.sources.tables import read_table, write_csv
 
 MONDAY = dt.date(2017, 1, 2)
 
@@ -116,3 +117,34 @@ def test_holdout_report(spark, tables):
     report = ensemble.holdout_report(train, model_columns(train), [ensemble.spark_ml("line", 1.0, models.linear())], 0.2)
     rows = {r["model"]: (r["n_rows"], r["rmse"]) for r in report.collect()}
     assert rows["line"][0] == int(train.count() * 0.2) and rows["line"][1] == pytest.approx(rows["blend"][1])
+
+
+@pytest.fixture(scope="module")
+def csv_folder(spark, tables, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("inputs"))
+    own = {"store_id": "air_store_id", "partner_id": "hpg_store_id", "genre_name": "air_genre_name", "area_name": "air_area_name"}
+    names = dict(visits="air_visit_data", stores="air_store_info", calendar="date_info", reservations_a="air_reserve",
+                 reservations_b="hpg_reserve", relation="store_id_relation")
+    for role, name in names.items():
+        write_csv(tables[role].withColumnsRenamed(own), f"{folder}/{name}.csv")
+    write_csv(targets(spark, "st_a", "st_b"), f"{folder}/sample_submission.csv")
+    return folder
+
+
+def test_baseline_run(spark, csv_folder, tmp_path):
+    runs.baseline_run(spark, csv_folder, f"{tmp_path}/out")
+    out = read_table(spark, f"{tmp_path}/out", "id string, visitors string").collect()
+    assert len(out) == 14 and all(len(r["visitors"].split(".")[1]) == 4 for r in out)
+
+
+@pytest.mark.parametrize("options", [{}, {"final": "mix", "how": "left"}, {"final": "half", "far_only": False, "baseline_feature": True}],
+                         ids=["null_aware", "mix", "half"])
+def test_ensemble_run(spark, csv_folder, tmp_path, options):
+    members = [ensemble.spark_ml("line", 0.5, models.linear()), ensemble.neighbours("near", 0.5, 4)]
+    runs.ensemble_run(spark, csv_folder, f"{tmp_path}/out", members, **options)
+    out = read_table(spark, f"{tmp_path}/out", "id string, visitors double")
+    assert out.count() == 14 and out.filter("visitors IS NULL OR visitors < 0").count() == 0
+
+
+def test_default_members_are_a_convex_blend(spark):
+    assert sum(m.weight for m in runs.default_members()) == pytest.approx(1.0)

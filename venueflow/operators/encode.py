@@ -96,31 +96,28 @@ def encode_tokens(df: DataFrame, separators: dict[str, str], k: int = 10) -> Dat
     return coded.groupBy(*keys).pivot("column", names).agg(F.max("code"))
 
 
-def column_bounds(train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: a struct with the minimum and maximum of each column."""
-    return train.agg(
-        F.struct(
-            *[F.min(F.col(c).cast("double")).alias(f"{c}_lo") for c in columns],
-            *[F.max(F.col(c).cast("double")).alias(f"{c}_hi") for c in columns],
-        ).alias("bounds")
-    )
+def column_bounds(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Minimum and maximum of each column: two numbers per column, from one aggregation."""
+    row = train.agg(
+        F.array(*[F.min(F.col(c).cast("double")) for c in columns]),
+        F.array(*[F.max(F.col(c).cast("double")) for c in columns]),
+    ).first()
+    return dict(zip(columns, zip(*row)))
 
 
-def scale_by(bounds: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def scale_by(bounds: dict[str, tuple[float, float]], df: DataFrame) -> DataFrame:
     """Scale columns by fitted bounds, without clipping; a zero range counts as 1."""
-    marked = df.withColumn("_b", bounds.scalar())
 
-    def scaled(c):
-        lo, hi = F.col("_b").getField(f"{c}_lo"), F.col("_b").getField(f"{c}_hi")
-        span = F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo)
-        return (F.col(c).cast("double") - lo) / span
+    def scaled(c, low, high):
+        span = 1.0 if low == high else None if low is None else high - low
+        return (F.col(c).cast("double") - F.lit(low)) / F.lit(span)
 
-    return marked.withColumns({c: scaled(c) for c in columns}).drop("_b")
+    return df.withColumns({c: scaled(c, *b) for c, b in bounds.items()})
 
 
 def min_max_scale(train: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Scale ``other`` by the minimum and range of ``train``."""
-    return scale_by(column_bounds(train, columns), other, columns)
+    return scale_by(column_bounds(train, columns), other)
 
 
 def fill_sentinel(df: DataFrame, value: int = -1) -> DataFrame:

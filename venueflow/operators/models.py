@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venueflow.functions.columns import clip
 from venueflow.operators.encode import column_bounds, scale_by
-from venueflow.session import materialize, shared_folder
+from venueflow.session import shared_folder
 
 LOG_TARGET = "log_target"
 LOG_CEILING = 6.8  # fixed value: upper clip of the factor model's log prediction
@@ -68,18 +68,35 @@ def invert_log(column: str):
 class FactorModel:
     """Regression with a learned vector per category plus scaled numeric inputs.
 
-    Categories are integer codes; each gets its own factors through one-hot columns, numerics are
-    min-max scaled by the training frame, and the log prediction is clipped to [0, 6.8].
+    Categories are integer codes; numerics are min-max scaled by the training frame, and the log
+    prediction is clipped to [0, 6.8]. Spark's gradient of this model is as long as all inputs
+    times the factors, for every row, so categories are hashed into ``hash_dims`` inputs by
+    default: a code of millions of stores then costs no more than one of ten. ``None`` gives every
+    category an input of its own.
     """
 
-    def __init__(self, numeric: Sequence[str], categorical: Sequence[str], factors: int = 8, rounds: int = 100, step: float = 0.1, seed: int = 10):
+    def __init__(
+        self, numeric: Sequence[str], categorical: Sequence[str], factors: int = 8, rounds: int = 100,
+        step: float = 0.1, seed: int = 10, hash_dims: int | None = 256,
+    ):
         self.numeric = list(numeric)
         self.categorical = list(categorical)
+        self.hash_dims = hash_dims
         self.settings = dict(factorSize=factors, maxIter=rounds, stepSize=step, seed=seed)
 
+    def _category_stage(self) -> tuple[list, list[str]]:
+        codes = [f"_c_{c}" for c in self.categorical]
+        if self.hash_dims is not None:
+            hasher = FeatureHasher(
+                inputCols=codes, categoricalCols=codes, numFeatures=self.hash_dims, outputCol="_hashed"
+            )
+            return [hasher], ["_hashed"]
+        hot = [f"_hot_{c}" for c in self.categorical]
+        return [OneHotEncoder(inputCols=codes, outputCols=hot, handleInvalid="keep", dropLast=False)], hot
+
     def _inputs(self, df: DataFrame) -> DataFrame:
         # Scaled copies and codes moved up by one, so that a -1 sentinel is a category of its own.
-        scaled = scale_by(self.bounds, df.withColumns({f"_n_{c}": F.col(c) for c in self.numeric}), self._numeric())
+        scaled = scale_by(self.bounds, df.withColumns({f"_n_{c}": F.col(c) for c in self.numeric}))
         return scaled.withColumns({f"_c_{c}": F.col(c) + 1 for c in self.categorical})
 
     def _numeric(self) -> list[str]:
@@ -87,11 +104,11 @@ class FactorModel:
 
     def fit(self, train: DataFrame, target: str = "visitors") -> "FactorModel":
         raw = train.select([F.col(c).alias(f"_n_{c}") for c in self.numeric])
-        self.bounds = materialize(column_bounds(raw, self._numeric()), "bounds")
-        codes, hot = ([f"{p}{c}" for c in self.categorical] for p in ("_c_", "_hot_"))
+        self.bounds = column_bounds(raw, self._numeric())
+        encoders, encoded = self._category_stage()
         stages = [
-            OneHotEncoder(inputCols=codes, outputCols=hot, handleInvalid="keep", dropLast=False),
-            VectorAssembler(inputCols=[*self._numeric(), *hot], outputCol="features"),
+            *encoders,
+            VectorAssembler(inputCols=[*self._numeric(), *encoded], outputCol="features"),
             FMRegressor(labelCol=LOG_TARGET, **self.settings),
         ]
         self.model = Pipeline(stages=stages).fit(self._inputs(train).withColumn(LOG_TARGET, F.log1p(F.col(target))))

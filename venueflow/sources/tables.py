@@ -63,3 +63,31 @@ def write_csv(df: DataFrame, path: str, float_scale: int | None = None, mode: st
     if float_scale is not None:
         df = df.select(*format_floats(df.schema, float_scale))
     df.write.mode(mode).option("header", True).csv(path)
+
+
+# Input column names and the names the plans use.
+RENAMES: dict[str, dict[str, str]] = {
+    "air_visit_data": {"air_store_id": "store_id"},
+    "air_store_info": {"air_store_id": "store_id", "air_genre_name": "genre_name", "air_area_name": "area_name"},
+    "air_reserve": {"air_store_id": "store_id"},
+    "hpg_reserve": {"hpg_store_id": "partner_id"},
+    "store_id_relation": {"air_store_id": "store_id", "hpg_store_id": "partner_id"},
+}
+# Argument of the plans per input table.
+ROLES = {
+    "air_visit_data": "visits",
+    "air_store_info": "stores",
+    "date_info": "calendar",
+    "sample_submission": "targets",
+    "air_reserve": "reservations_a",
+    "hpg_reserve": "reservations_b",
+    "store_id_relation": "relation",
+}
+
+
+def load_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The CSV tables of a folder under the argument and column names of the plans."""
+    tables = load_catalog(spark, folder)
+    return {
+        role: tables[name].withColumnsRenamed(RENAMES.get(name, {})) for name, role in ROLES.items() if name in tables
+    }
