@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +134,21 @@ def test_search_over_scores(spark):
     assert [r["n"] for r in per_seed] == [4, 4]
     again = evaluate.random_search(scored, ["n_neighbors", "weights"], 4, [1, 2])
     assert drawn.exceptAll(again).count() == 0
+
+
+def test_workers_need_no_installed_package(tmp_path):
+    """The driver finds the package through sys.path only; the workers start in another folder."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parent.parent)!r})
+from pyspark.sql import SparkSession
+from venueflow.operators import knn
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+rows = [(i, [float(i)], i % 2) for i in range(5)]
+train = spark.createDataFrame(rows, "train_id long, vec array<double>, label int")
+near = knn.nearest(train.withColumnRenamed("train_id", "query_id"), train, 2)
+print("classified", knn.classify(near, 2).count())
+"""
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=240,
+                         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert "classified 5" in run.stdout, run.stderr[-2000:]

@@ -7,16 +7,21 @@ compared in bounded blocks and each block returns only its k best per query.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from venueflow.session import materialize
 
+# The functions below travel with the tasks, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 8192  # rows of either side compared in one group
 QUERY_CHUNK = 256  # queries ranked at a time inside a block
 EXACT_CHUNK = 100_000  # candidate pairs measured at a time
