@@ -16,8 +16,8 @@ def enrich_with_calendar(
 ) -> DataFrame:
     """Left join calendar columns onto dated rows; the fact's own date column is kept.
 
-    The calendar is broadcast when counted small (it has one row per date). Calendar columns win
-    nothing over fact columns of the same name: those are taken from the facts.
+    The calendar is broadcast when counted small (it has one row per date). Where both tables have
+    a column of the same name, the fact's is kept.
     """
     extra = [c for c in calendar.columns if c != calendar_date and c not in facts.columns]
     side = calendar.select(F.col(calendar_date).alias(date), *extra)
@@ -76,7 +76,8 @@ def lookup_baseline(
 
     1. same entity and context; 2. same context with the holiday flag 0; 3. the entity's mean of
     group means. ``levels=1`` gives the plain lookup. All levels come from one join: the baseline
-    is first folded into one row per entity with a small context map.
+    is first folded into one row per entity with a map of its contexts, so the context columns must
+    be few-valued ones such as weekday, month and flag.
     """
     if levels not in (1, 2, 3):
         raise ValueError("levels must be 1, 2 or 3")
