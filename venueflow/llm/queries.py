@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from venueflow.llm import quality
-from venueflow.llm.registry import query, table
+from venueflow.llm import mixing, quality, simhash
+from venueflow.llm.registry import QUERIES, SQL, query, table  # noqa: F401
+
+
+@query("op3_simhash_near_dedup")
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash(table(spark, sf_dir, "documents"))
 
 
 @query("op9_quality_rules", quality.sql())
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+@query("op10_mixing", mixing.sql())
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.with_positions(mixing.mix(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_position").orderBy("first_position", "doc_id")
