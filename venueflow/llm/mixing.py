@@ -77,13 +77,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
         size(docs[text]).alias("size"), order.alias("place"),
     )
     rows = materialize(rows.withColumn("slice", F.substring("place", 1, SLICE_DIGITS)), "mix-sizes")
-    per_slice = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
-    before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = per_slice.select("source", "slice", F.coalesce(F.sum("slice_size").over(before), F.lit(0)).alias("slice_begins"))
-    targets = source_targets(rows)
-    plan = per_slice.join(targets, per_slice["source"].eqNullSafe(targets["source"])).select(
-        per_slice["source"].alias("slice_source"), F.col("slice").alias("slice_name"), "slice_begins", "source_size", "target", "ramp"
-    )
+    plan = _slice_plan(rows)
     within = Window.partitionBy("source", "slice").orderBy("place", F.col("doc_id").asc_nulls_last(), "size", "key").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
     rows = rows.join(plan, rows["source"].eqNullSafe(plan["slice_source"]) & (rows["slice"] == plan["slice_name"]))
@@ -98,6 +92,27 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     )
 
 
+def _slice_plan(rows: DataFrame) -> DataFrame:
+    """Where each slice of a source begins, beside the source's target.
+
+    Slice sums add up in two steps of at most 256 rows a group: slices of a block, blocks of a source.
+    """
+    per_slice = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size")).withColumn("block", F.substring("slice", 1, SLICE_DIGITS // 2))
+    per_block = per_slice.groupBy("source", "block").agg(F.sum("slice_size").alias("block_size"))
+    earlier = lambda by, along: Window.partitionBy(*by).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+    per_block = per_block.withColumn("block_begins", F.coalesce(F.sum("block_size").over(earlier(["source"], "block")), F.lit(0)))
+    targets = source_targets(rows)
+    blocks = per_block.join(targets, per_block["source"].eqNullSafe(targets["source"])).select(
+        per_block["source"].alias("block_source"), F.col("block").alias("block_name"), "block_begins", "source_size", "target", "ramp"
+    )
+    per_slice = per_slice.withColumn("in_block", F.coalesce(F.sum("slice_size").over(earlier(["source", "block"], "slice")), F.lit(0)))
+    same = per_slice["source"].eqNullSafe(blocks["block_source"]) & (per_slice["block"] == blocks["block_name"])
+    return per_slice.join(blocks, same).select(
+        F.col("source").alias("slice_source"), F.col("slice").alias("slice_name"), (F.col("block_begins") + F.col("in_block")).alias("slice_begins"),
+        "source_size", "target", "ramp",
+    )
+
+
 def with_positions(mixed: DataFrame) -> DataFrame:
     """``mixed`` with ``first_position``: where in training the first copy stands (null if not taken)."""
     first = positions(F.col("begins").cast("double"), F.col("target"), F.col("ramp"))

@@ -3,16 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from venueflow.llm import mixing, quality, simhash
+from venueflow.llm import mixing, pii, quality, sentencepieces, simhash
 from venueflow.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 
+@query("op1_pii")
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 @query("op3_simhash_near_dedup")
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(table(spark, sf_dir, "documents"))
 
 
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the digest of the text they decode to."""
+    encoded = sentencepieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    decoded = sentencepieces.decode(encoded)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("same_text"),
+    )
+
+
 @query("op9_quality_rules", quality.sql())
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).select("doc_id", *quality.COUNTS, "base_failed", "kept")
