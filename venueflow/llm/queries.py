@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venueflow.llm import mixing, pii, quality, sentencepieces, simhash
+from venueflow.llm import licenses, mixing, pii, quality, sentencepieces, simhash, toxicity
 from venueflow.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 
@@ -19,6 +19,16 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(table(spark, sf_dir, "documents"))
 
 
+@query("op5_license_scan", licenses.sql())
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_sentencepiece")
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the digest of the text they decode to."""
