@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venueflow.llm import licenses, mixing, pii, quality, sentencepieces, simhash, toxicity
+from venueflow.llm import licenses, mixing, neighbours, packing, pii, quality, sentencepieces, simhash, tokenfiles, toxicity
 from venueflow.llm.registry import QUERIES, SQL, query, table  # noqa: F401
+from venueflow.session import materialize, new_shared_path
 
 
 @query("op1_pii")
@@ -14,11 +15,23 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+@query("op2_token_packing")
+def op2_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every segment of every document stands in the packed matrices, which are written to the shared folder."""
+    folder = new_shared_path(spark, "packed")
+    return materialize(packing.pack(table(spark, sf_dir, "documents"), folder), "packed-segments")
+
+
 @query("op3_simhash_near_dedup")
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(table(spark, sf_dir, "documents"))
 
 
+@query("op4_nearest_neighbours")
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query("op5_license_scan", licenses.sql())
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -40,6 +53,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.token_counts(table(spark, sf_dir, "documents"))
+
+
 @query("op9_quality_rules", quality.sql())
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).select("doc_id", *quality.COUNTS, "base_failed", "kept")
