@@ -139,10 +139,12 @@ def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules:
 
 def filter_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    (whole,) = free_names(docs, "whole")
+    whole, mark, passed = free_names(docs, "whole", "mark", "passed")
     nested = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(whole), docs[text].alias("text"))
     df = measures(nested, "text", [whole])
-    return df.filter(~base_failed() & (F.size(broken(rules)) == 0)).select(*[F.col(whole)[c].alias(c) for c in docs.columns])
+    # The row mark keeps the filter above the measures: pushed below, it would repeat every one of them many times.
+    df = df.select(whole, (~base_failed() & (F.size(broken(rules)) == 0)).alias(passed), F.monotonically_increasing_id().alias(mark))
+    return df.filter(F.col(passed) & (F.col(mark) >= 0)).select(*[F.col(whole)[c].alias(c) for c in docs.columns])
 
 
 def sql(rules: tuple[Rule, ...] = RULES) -> str:
