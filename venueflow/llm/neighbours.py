@@ -112,7 +112,7 @@ def build_graph(nodes: DataFrame) -> DataFrame:
         near = graph.select("shard", F.col("at").alias("via"), F.col("links").alias("offered"))
         offers = both.join(near, ["shard", "via"]).select(F.col("shard").alias("to_shard"), F.col("at").alias("to"), "offered")
         graph = materialize(graph.groupBy("shard").cogroup(offers.groupBy("to_shard")).applyInArrow(_improve, GRAPH), f"ann-graph-{i + 1}")
-        if graph.agg(F.sum("changed")).first()[0] <= STILL * K * total:
+        if graph.agg(F.coalesce(F.sum("changed"), F.lit(0))).first()[0] <= STILL * K * total:
             break
     return graph
 

@@ -1,7 +1,8 @@
 """Quality rules: a threshold table compiled into one Spark projection, without user functions.
 
-Each rule bounds one measure of a text. ``measures`` are Column expressions over the split text,
-``verdict`` turns the table into the list of broken rules, and ``filter_quality`` keeps the rest.
+Each rule bounds one measure of a text. ``measured`` is a single Column: it splits the text, counts,
+and compiles the table into the list of broken rules. Intermediate arrays are bound once, so the
+Column may be filtered on or pushed down without being computed again for each use.
 
 Defined results: a null text counts as an empty one (no words, so it fails the base rules); a ratio
 over no words or no lines is 0; very long texts are measured whole; repeated rows and rows with
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venueflow.llm.common import free_names, words
+from venueflow.llm.common import words
 
 BASE_MIN_WORDS = 50
 BASE_MAX_REPEATED_PERCENT = 50
@@ -59,92 +60,98 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def measures(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """``keep`` columns plus every measure of the text, as one chain of projections.
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often and wherever the result is inlined."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    Words in 3-word windows found twice or more: windows are hashed to 64 bits, sorted with their
-    positions, and equal neighbours give the repeated window starts. The words these cover are
-    counted from the gaps between starts.
+
+def repeated_words(w: Column) -> Column:
+    """Words in 3-word windows found twice or more.
+
+    Windows are hashed to 64 bits, sorted with their positions, and equal neighbours give the starts
+    of repeated windows. The words these cover are counted from the gaps between starts.
     """
-    body, w, lines, h, z, p = free_names(docs, "body", "w", "lines", "h", "z", "p")
-    df = docs.select(*[docs[c] for c in keep], F.coalesce(docs[text], F.lit("")).alias(body))
-    df = df.select("*", words(F.col(body)).alias(w), F.filter(F.split(F.col(body), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias(lines))
-    n = F.size(F.col(w))
-    window = F.transform(
-        F.slice(F.col(w), 1, F.greatest(n - 2, F.lit(0))),
-        lambda x, i: F.xxhash64(x, F.get(F.col(w), i + 1), F.get(F.col(w), i + 2)),
-    )
-    stops = F.filter(F.col(w), lambda x: F.lower(x).isin(*dict.fromkeys(STOP_WORDS)))
-    df = df.select(
-        *keep, h_of(window).alias(h), n.cast("long").alias("n_words"),
-        F.length(F.translate(F.col(body), BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length(F.col(body)) - F.length(F.translate(F.col(body), SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.size(F.col(lines)).cast("long").alias("n_lines"),
-        (F.size(F.col(lines)) - F.size(F.array_distinct(F.col(lines)))).cast("long").alias("n_dup_lines"),
-        F.size(stops).cast("long").alias("n_stop"),
-        F.size(F.filter(F.col(lines), lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$"))).cast("long").alias("n_ellipsis"),
-        F.size(F.filter(F.col(lines), lambda x: x.rlike(r"^[\x20\x09-\x0D]*[-•*]"))).cast("long").alias("n_bullet"),
+    windows = F.transform(
+        F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))
     )
-    counts = [c for c in df.columns if c != h]
-    repeats = F.size(F.array_distinct(F.col(h))) < F.size(F.col(h))
-    df = df.select(*counts, F.when(repeats, F.sort_array(F.transform(F.col(h), lambda x, i: F.struct(x.alias("h"), i.alias("i"))))).alias(z))
     same = lambda x, y: F.coalesce(x["h"] == y["h"], F.lit(False))
-    df = df.select(*counts, F.sort_array(F.transform(
-        F.filter(F.col(z), lambda x, i: same(x, F.get(F.col(z), i + 1)) | same(x, F.get(F.col(z), i - 1))),
-        lambda x: x["i"],
-    )).alias(p))
-    covered = F.aggregate(
-        F.transform(F.col(p), lambda x, i: F.least(F.lit(3), F.coalesce(F.get(F.col(p), i + 1) - x, F.lit(3)))),
-        F.lit(0), lambda a, x: a + x,
+    starts = lambda z: F.sort_array(F.transform(
+        F.filter(z, lambda x, i: same(x, F.get(z, i + 1)) | same(x, F.get(z, i - 1))), lambda x: x["i"]
+    ))
+    covered = lambda p: F.aggregate(
+        F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3)))), F.lit(0), lambda a, x: a + x
     )
-    df = df.select(*counts, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
-    return df.select(
-        "*",
-        _ratio(F.col("word_chars"), F.col("n_words")).alias("mean_word_chars"),
-        _ratio(F.col("n_symbols"), F.col("n_words")).alias("symbol_ratio"),
-        _ratio(F.col("n_stop"), F.col("n_words")).alias("stop_ratio"),
-        _ratio(F.col("n_dup_lines"), F.col("n_lines")).alias("dup_line_ratio"),
-        _ratio(F.col("n_ellipsis"), F.col("n_lines")).alias("ellipsis_line_ratio"),
-        _ratio(F.col("n_bullet"), F.col("n_lines")).alias("bullet_line_ratio"),
-    )
-
-
-def h_of(windows: Column) -> Column:
-    """The window hashes; a text of fewer than three words has none."""
-    return F.coalesce(windows, F.array().cast("array<bigint>"))
-
-
-def base_failed() -> Column:
-    return (F.col("n_words") < BASE_MIN_WORDS) | (100 * F.col("n_repeat_words") > BASE_MAX_REPEATED_PERCENT * F.col("n_words"))
+    placed = lambda h: F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    counted = lambda h: F.when(
+        F.size(F.array_distinct(h)) < F.size(h), let(placed(h), lambda z: let(starts(z), covered))
+    ).otherwise(F.lit(0))
+    return let(windows, counted)
+
+
+def measured(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Every measure of a text and the verdict, as one struct."""
+    line_has = lambda lines, pattern: F.size(F.filter(lines, lambda x: x.rlike(pattern))).cast("long")
+
+    def counts(body: Column, w: Column, lines: Column) -> Column:
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.translate(body, BLANKS, "")).cast("long").alias("word_chars"),
+            (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+            repeated_words(w).cast("long").alias("n_repeat_words"),
+            F.size(lines).cast("long").alias("n_lines"),
+            F.size(F.filter(w, lambda x: F.lower(x).isin(*dict.fromkeys(STOP_WORDS)))).cast("long").alias("n_stop"),
+            line_has(lines, r"(\.\.\.|…)[\x20\x09-\x0D]*$").alias("n_ellipsis"),
+            line_has(lines, r"^[\x20\x09-\x0D]*[-•*]").alias("n_bullet"),
+        )
+
+    def ratios(c: Column) -> Column:
+        return F.struct(
+            *[c[n].alias(n) for n in (*COUNTS, "n_lines", "n_stop", "n_ellipsis", "n_bullet")],
+            _ratio(c["word_chars"], c["n_words"]).alias("mean_word_chars"),
+            _ratio(c["n_symbols"], c["n_words"]).alias("symbol_ratio"),
+            _ratio(c["n_stop"], c["n_words"]).alias("stop_ratio"),
+            _ratio(c["n_dup_lines"], c["n_lines"]).alias("dup_line_ratio"),
+            _ratio(c["n_ellipsis"], c["n_lines"]).alias("ellipsis_line_ratio"),
+            _ratio(c["n_bullet"], c["n_lines"]).alias("bullet_line_ratio"),
+        )
+
+    def verdict(m: Column) -> Column:
+        failed = (m["n_words"] < BASE_MIN_WORDS) | (100 * m["n_repeat_words"] > BASE_MAX_REPEATED_PERCENT * m["n_words"])
+        return let(broken(m, rules), lambda b: F.struct(
+            *[m[n].alias(n) for n in MEASURES], failed.alias("base_failed"), b.alias("broken"), (~failed & (F.size(b) == 0)).alias("kept")
+        ))
+
+    split = lambda body: F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    both = lambda body: let(words(body), lambda w: let(split(body), lambda lines: counts(body, w, lines)))
+    return let(let(let(F.coalesce(text, F.lit("")), both), ratios), verdict)
+
+
+MEASURES = (
+    *COUNTS, "n_lines", "n_stop", "n_ellipsis", "n_bullet",
+    "mean_word_chars", "symbol_ratio", "stop_ratio", "dup_line_ratio", "ellipsis_line_ratio", "bullet_line_ratio",
+)
 
 
-def broken(rules: tuple[Rule, ...] = RULES) -> Column:
-    """Names of the rules a row breaks, in table order."""
+def broken(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Names of the rules that the measures ``m`` break, in table order."""
     checks = []
     for r in rules:
-        m = F.col(r.measure)
         if r.low is not None:
-            checks.append(F.when(m < r.low, F.lit(r.name)))
+            checks.append(F.when(m[r.measure] < r.low, F.lit(r.name)))
         if r.high is not None:
-            checks.append(F.when(m > r.high, F.lit(r.name)))
+            checks.append(F.when(m[r.measure] > r.high, F.lit(r.name)))
     return F.array_distinct(F.array_compact(F.array(*checks))) if checks else F.array().cast("array<string>")
 
 
 def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per input row: id, counts, ratios, ``base_failed``, ``broken`` and ``kept``."""
-    df = measures(docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")), "text", ["doc_id"])
-    df = df.select("*", base_failed().alias("base_failed"), broken(rules).alias("broken"))
-    return df.select("*", (~F.col("base_failed") & (F.size("broken") == 0)).alias("kept"))
+    return docs.select(docs[doc_id].alias("doc_id"), measured(docs[text], rules).alias("m")).select("doc_id", "m.*")
 
 
 def filter_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    whole, mark, passed = free_names(docs, "whole", "mark", "passed")
-    nested = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(whole), docs[text].alias("text"))
-    df = measures(nested, "text", [whole])
-    # The row mark keeps the filter above the measures: pushed below, it would repeat every one of them many times.
-    df = df.select(whole, (~base_failed() & (F.size(broken(rules)) == 0)).alias(passed), F.monotonically_increasing_id().alias(mark))
-    return df.filter(F.col(passed) & (F.col(mark) >= 0)).select(*[F.col(whole)[c].alias(c) for c in docs.columns])
+    return docs.filter(measured(docs[text], rules)["kept"])
 
 
 def sql(rules: tuple[Rule, ...] = RULES) -> str:
