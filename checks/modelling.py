@@ -73,7 +73,7 @@ def _(t):
 
 def train_frame(t, **options):
     """The train frame written once, so that iterative fitting reads finished rows."""
-    train, test = frames(t, tokens=3, **options)
+    train, test = frames(t, **options)
     return materialize(train, "train"), materialize(test, "test")
 
 
@@ -100,7 +100,7 @@ def _(t):
 
 @query("ml5_random_forest")
 def _(t):
-    return predictions(t, models.random_forest(depth=6))
+    return predictions(t, models.random_forest())
 
 
 @query("ml6_linear_regression")
@@ -178,7 +178,7 @@ def _(t):
 @query("ml8_factor_model")
 def _(t):
     train, test = train_frame(t)
-    member = ensemble.factor("log_prediction", 1.0, CATEGORIES, rounds=30)
+    member = ensemble.factor("log_prediction", 1.0, CATEGORIES)
     out = member.fit(train, model_columns(train))(test, "log_prediction")
     return out.select("id", models.invert_log("log_prediction").alias("visitors"))
 
@@ -211,7 +211,7 @@ def members():
     return [
         ensemble.spark_ml("trees", 0.2, models.boosted_trees(**SMALL)),
         ensemble.spark_ml("sampled_trees", 0.4, models.boosted_trees_with_column_sampling(**SMALL)),
-        ensemble.factor("factors", 0.4, CATEGORIES, rounds=30),
+        ensemble.factor("factors", 0.4, CATEGORIES),
     ]
 
 

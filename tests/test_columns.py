@@ -75,3 +75,14 @@ def test_rmse(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0)], "a double, b double")
     assert df.agg(C.rmse("a", "b")).first()[0] == pytest.approx(math.sqrt(0.5))
     assert df.agg(F.count("a")).first()[0] == 2
+
+
+def test_clip_keeps_nan_and_missing(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (9.0,), (-1.0,)], "x double")
+    got = [r[0] for r in df.select(C.clip("x", 0, 6.8)).collect()]
+    assert got[0] != got[0] and got[1:] == [None, 6.8, 0.0]
+
+
+def test_id_of_a_missing_part_is_missing(spark):
+    df = spark.createDataFrame([("a", "2016-01-02"), (None, "2016-01-02"), ("a", None)], "s string, d string")
+    assert [r[0] for r in df.select(C.make_id("s", "d")).collect()] == ["a_2016-01-02", None, None]

@@ -30,12 +30,11 @@ def test_unseen_label_raises_or_is_kept(spark):
         encode.apply_label_codes(other, codes, ["x"], unseen="skip")
 
 
-def test_large_vocabulary_path_gives_the_same_codes(spark, monkeypatch):
+def test_codes_number_the_sorted_labels_of_each_column(spark):
     df = spark.createDataFrame([(f"k{i % 37:02d}", f"v{i % 11}") for i in range(200)], "a string, b string")
-    small = rows(encode.fit_label_codes(df, ["a", "b"]), "column", "label", "code")
-    monkeypatch.setattr(encode, "SMALL_SIDE_ROWS", 5)
-    assert rows(encode.fit_label_codes(df, ["a", "b"]), "column", "label", "code") == small
-    assert [c for col, _, c in small if col == "b"] == list(range(11))
+    want = [("a", f"k{i:02d}", i) for i in range(37)]
+    want += [("b", label, i) for i, label in enumerate(sorted(f"v{i}" for i in range(11)))]
+    assert rows(encode.fit_label_codes(df, ["a", "b"]), "column", "label", "code") == want
 
 
 def test_token_codes(spark):

@@ -81,3 +81,15 @@ def test_position_is_stable_between_reads(panel):
     placed = with_position(df, ["d", "s"])
     again = placed.alias("a").join(placed.alias("b"), ["d", "s"]).filter(F.col("a.position") != F.col("b.position"))
     assert again.count() == 0
+
+
+def test_holdout_counts_are_exact_on_ties_and_missing_dates(spark):
+    from pyspark.sql import functions as F
+
+    from venueflow.operators.split import chronological_holdout
+
+    df = spark.range(20).select(F.lit("2020-01-01").cast("date").alias("d"), F.lit(1).alias("k"), F.col("id").alias("v"))
+    assert chronological_holdout(df, "d", ["k"], 0.1).filter("is_validation").count() == 2
+    gaps = spark.range(10).select(F.when(F.col("id") >= 6, F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int"))).alias("d"), F.col("id").alias("k"))
+    for fraction in (0.2, 0.5, 0.9):
+        assert chronological_holdout(gaps, "d", ["k"], fraction).filter("is_validation").count() == int(10 * fraction)

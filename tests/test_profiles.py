@@ -89,3 +89,9 @@ def test_share_and_active(spark):
     df = spark.createDataFrame([("a", 1), ("b", 3), ("b", 0)], "store_id string, x int")
     assert sorted(r["x"] for r in profiles.share_of_total(df, "x").collect()) == [0.0, 0.25, 0.75]
     assert profiles.active_entities(df, ["x"]).filter("x = 3").first()["n_entities"] == 1
+
+
+def test_missing_keys_are_left_out_of_every_profile(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0)], "k string, visitors double")
+    rows = [sorted(tuple(r) for r in profiles.profile(df, ["k"], median=m).collect()) for m in ("exact", "bracketed")]
+    assert rows[0] == rows[1] == [("a", 1.0, 2.0, 2.0, 3.0, 2)]

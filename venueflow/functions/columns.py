@@ -51,7 +51,8 @@ def split_date(target_id: ColumnLike) -> Column:
 
 
 def make_id(entity: ColumnLike, d: ColumnLike) -> Column:
-    return F.concat_ws("_", col(entity), col(d).cast("string"))
+    """``<entity>_<date>``; null if either is missing."""
+    return F.concat(col(entity).cast("string"), F.lit("_"), col(d).cast("string"))
 
 
 def separate_words(text: ColumnLike, separator: str, missing: str = "nan") -> Column:
@@ -65,14 +66,14 @@ def token(text: ColumnLike, index: int) -> Column:
 
 
 def clip(c: ColumnLike, lower: float | None = None, upper: float | None = None) -> Column:
-    """Bound a value; missing values stay missing."""
+    """Bound a value; missing values stay missing and NaN stays NaN."""
     c = col(c)
     out = c
     if lower is not None:
         out = F.greatest(out, F.lit(float(lower)))
     if upper is not None:
         out = F.least(out, F.lit(float(upper)))
-    return F.when(c.isNotNull(), out)
+    return F.when(F.isnan(c.cast("double")), c).when(c.isNotNull(), out)
 
 
 def weighted_mean(value: ColumnLike, weight: ColumnLike) -> Column:
@@ -100,10 +101,10 @@ def rmse(truth: ColumnLike, prediction: ColumnLike) -> Column:
 
 
 def format_floats(schema, scale: int) -> list[Column]:
-    """Select list that prints floating columns with a fixed number of decimals."""
+    """Select list that prints floating columns with a fixed number of decimals; a missing number or NaN is left empty."""
     pattern = f"%.{scale}f"
     return [
-        F.format_string(pattern, F.col(f.name)).alias(f.name)
+        F.when(F.col(f.name).isNotNull() & ~F.isnan(f.name), F.format_string(pattern, F.col(f.name))).alias(f.name)
         if f.dataType.typeName() in ("double", "float")
         else F.col(f.name)
         for f in schema.fields

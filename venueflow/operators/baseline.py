@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venueflow.functions.columns import weighted_mean
-from venueflow.session import broadcast_if_small
 
 
 def enrich_with_calendar(
@@ -16,12 +15,12 @@ def enrich_with_calendar(
 ) -> DataFrame:
     """Left join calendar columns onto dated rows; the fact's own date column is kept.
 
-    The calendar is broadcast when counted small (it has one row per date). Where both tables have
-    a column of the same name, the fact's is kept.
+    Spark broadcasts the calendar by its size (one row per date). Where both tables have a column of
+    the same name, the fact's is kept.
     """
     extra = [c for c in calendar.columns if c != calendar_date and c not in facts.columns]
     side = calendar.select(F.col(calendar_date).alias(date), *extra)
-    return facts.join(broadcast_if_small(side), date, "left")
+    return facts.join(side, date, "left")
 
 
 def weighted_log_means(

@@ -39,10 +39,3 @@ def with_recency_weights(
     ranked = calendar.withColumn("_rank", rank).withColumn("_size", size)
     weights = {n: recency_weight("_rank", "_size", p) for n, p in zip(names, exponents)}
     return ranked.withColumns(weights).drop("_rank", "_size")
-
-
-def extend_calendar(first_day, last_day, spark) -> DataFrame:
-    """One row per date between two dates (both included)."""
-    return spark.range(1).select(
-        F.explode(F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))).alias("calendar_date")
-    )

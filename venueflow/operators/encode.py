@@ -5,29 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venueflow.functions.columns import separate_words, token
 from venueflow.operators.position import with_position
-from venueflow.session import SMALL_SIDE_ROWS, materialize
+from venueflow.session import materialize
 
 
 def fit_label_codes(df: DataFrame, columns: Sequence[str], missing: str = "nan") -> DataFrame:
     """Vocabulary table (column, label, code): the sorted distinct labels of each column as 0..n-1.
 
-    All columns share one pass. The vocabulary is written once and never collected: a small one is
-    numbered by a window per column, a large one (an entity key) by a range-partitioned sort.
+    All columns share one pass. The vocabulary is numbered by a range-partitioned sort, written, and
+    never collected.
     """
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias("label")) for c in columns]
     )
     distinct = df.select(F.explode(pairs).alias("p")).select("p.column", "p.label").distinct()
-    vocabulary = materialize(distinct, "vocabulary")
-    if vocabulary.count() <= SMALL_SIDE_ROWS:
-        rank = F.row_number().over(Window.partitionBy("column").orderBy("label"))
-        return vocabulary.withColumn("code", rank - 1)
-    placed = with_position(vocabulary, ["column", "label"])
+    placed = with_position(distinct, ["column", "label"])
     # One row per encoded column.
     first = F.broadcast(placed.groupBy("column").agg(F.min("position").alias("_first")))
     code = (F.col("position") - F.col("_first")).cast("int").alias("code")

@@ -70,14 +70,13 @@ class FactorModel:
 
     Categories are integer codes; numerics are min-max scaled by the training frame, and the log
     prediction is clipped to [0, 6.8]. Spark's gradient of this model is as long as all inputs
-    times the factors, for every row, so categories are hashed into ``hash_dims`` inputs by
-    default: a code of millions of stores then costs no more than one of ten. ``None`` gives every
-    category an input of its own.
+    times the factors, for every row. Every category has an input of its own; ``hash_dims`` hashes
+    all of them into that many inputs instead, at the price of categories that share one.
     """
 
     def __init__(
         self, numeric: Sequence[str], categorical: Sequence[str], factors: int = 8, rounds: int = 100,
-        step: float = 0.1, seed: int = 10, hash_dims: int | None = 256,
+        step: float = 0.1, seed: int = 10, hash_dims: int | None = None,
     ):
         self.numeric = list(numeric)
         self.categorical = list(categorical)

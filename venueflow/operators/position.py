@@ -63,20 +63,29 @@ def rank_cutoffs(
     hits = hits.filter(F.col("_rank").isNotNull()).select(date, (F.col("_rank") - F.col("_before") - 1).alias("_nth"))
 
     # hits has one row per wanted rank (a holdout has one, folds have k).
-    edge_rows = df.select(date, *ties).join(F.broadcast(hits.select(date).distinct()), date, "left_semi")
+    # A missing date sorts first and is joined as a value of its own.
+    hit_days = F.broadcast(hits.select(F.col(date).alias("_hit")).distinct())
+    edge_rows = df.select(date, *ties).join(hit_days, F.col(date).eqNullSafe(F.col("_hit")), "left_semi")
     placed = with_position(edge_rows, [date, *ties])
-    day_start = placed.groupBy(date).agg(F.min("position").alias("_day_start"))
-    at = hits.join(F.broadcast(day_start), date).select(date, (F.col("_day_start") + F.col("_nth")).alias("position"))
-    keys = placed.join(F.broadcast(at), [date, "position"]).select(F.struct(date, *ties).alias("_key"))
+    day_start = placed.groupBy(F.col(date).alias("_day")).agg(F.min("position").alias("_day_start"))
+    on_day = hits[date].eqNullSafe(F.col("_day"))
+    at = hits.join(F.broadcast(day_start), on_day).select((F.col("_day_start") + F.col("_nth")).alias("position"))
+    keys = placed.join(F.broadcast(at), "position").select(F.struct(date, *ties).alias("_key"))
     found = keys.agg(F.sort_array(F.collect_list("_key")).alias("cutoffs"))
     return found.withColumn("skipped", skipped.scalar())
 
 
 def with_segment(df: DataFrame, date: str, ties: Sequence[str], ranks, name: str = "segment") -> DataFrame:
-    """Number of wanted ranks that lie strictly before each row; no shuffle of the rows themselves."""
+    """Number of wanted ranks that lie strictly before each row; no shuffle of the rows themselves.
+
+    Rows with equal (date, *ties) are ordered by a hash of all their columns, so that exactly the
+    wanted number of rows lies behind a cutoff; only wholly equal rows stay on one side together.
+    """
+    columns = df.columns
+    df, ties = df.withColumn("_own", F.xxhash64(*columns)), [*ties, "_own"]
     # Read once per query: the cutoffs come back as a scalar of at most len(ranks) keys.
     cut = materialize(rank_cutoffs(df, date, ties, ranks), "cutoffs")
     key = F.struct(date, *ties)
     marked = df.withColumn("_cut", cut.select(F.struct("cutoffs", "skipped")).scalar())
     passed = F.size(F.filter("_cut.cutoffs", lambda c: key > c))
-    return marked.withColumn(name, (passed + F.col("_cut.skipped")).cast("int")).drop("_cut")
+    return marked.withColumn(name, (passed + F.col("_cut.skipped")).cast("int")).drop("_cut", "_own")

@@ -28,8 +28,9 @@ def profile(
     ``median='exact'`` takes one aggregation and keeps a counter per distinct value of a group,
     which suits daily counts. ``'bracketed'`` is exact too, for measures with very many distinct
     values in a group: see ``bracketed_median``. ``'approximate'`` is percentile_approx.
-    ``count_nulls`` counts rows instead of values.
+    ``count_nulls`` counts rows instead of values. Rows with a missing key are left out.
     """
+    df = df.dropna(subset=list(keys))
     m = F.col(measure)
     median_name = f"{prefix}median_{measure}"
     middle = {
@@ -129,7 +130,7 @@ def reservation_features(
     rows = with_lead(reservations)
     if far_only:
         rows = far_reservations(rows)
-    return rows.groupBy(entity, "visit_date").agg(
+    return rows.dropna(subset=[entity, "visit_date"]).groupBy(entity, "visit_date").agg(
         F.sum("lead_days").alias(f"rs1{suffix}"),
         F.sum("reserve_visitors").alias(f"rv1{suffix}"),
         F.avg("lead_days").alias(f"rs2{suffix}"),
@@ -161,7 +162,7 @@ def paired_reservation_features(
             F.avg(of(s, "lead_days")).alias(f"rs2_{s}"),
             F.avg(of(s, "reserve_visitors")).alias(f"rv2_{s}"),
         ]
-    return rows.groupBy(entity, "visit_date").agg(*aggregates)
+    return rows.dropna(subset=[entity, "visit_date"]).groupBy(entity, "visit_date").agg(*aggregates)
 
 
 def reservation_totals(df: DataFrame) -> DataFrame:
@@ -191,4 +192,4 @@ def share_of_total(df: DataFrame, column: str, name: str | None = None) -> DataF
 
 
 def active_entities(df: DataFrame, by: Sequence[str], entity: str = "store_id") -> DataFrame:
-    return df.groupBy(*by).agg(F.countDistinct(entity).alias("n_entities"))
+    return df.dropna(subset=list(by)).groupBy(*by).agg(F.countDistinct(entity).alias("n_entities"))

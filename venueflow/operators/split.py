@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venueflow.operators.position import with_position, with_segment
-from venueflow.session import broadcast_if_small, materialize
+from venueflow.session import materialize
 
 
 def chronological_holdout(
@@ -72,11 +72,9 @@ def stratified_folds(df: DataFrame, label: str, order: Sequence[str], k: int, na
     placed by one range-partitioned sort on (label, *order).
     """
     placed = with_position(df, [label, *order], "_position")
-    classes = broadcast_if_small(
-        materialize(
-            placed.groupBy(label).agg(F.min("_position").alias("_first"), F.count(F.lit(1)).alias("_size")),
-            "classes",
-        )
+    # Written, so that Spark knows its size when it plans the join.
+    classes = materialize(
+        placed.groupBy(label).agg(F.min("_position").alias("_first"), F.count(F.lit(1)).alias("_size")), "classes"
     )
     rank = F.col("_position") - F.col("_first")
     base = F.floor(F.col("_size") / k)

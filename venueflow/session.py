@@ -1,4 +1,4 @@
-"""Shared-folder and small-table helpers used by the operators."""
+"""Shared-folder helpers used by the operators."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is hinted for broadcast only after it was counted at or below this many rows.
-SMALL_SIDE_ROWS = 200_000
-
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
@@ -41,12 +36,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_shared_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """Hint a broadcast only when the table is counted to be small.
-
-    Larger tables come back without a hint, so Spark joins them by shuffle and AQE may split skew.
-    Meant for tables that are cheap to count: materialized or scanned straight from files.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

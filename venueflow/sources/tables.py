@@ -26,10 +26,22 @@ SCHEMAS: dict[str, str] = {
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Read CSV with a header. Give a schema at scale: inferring one costs a pass over the data."""
+    """Read CSV with a header. Give a schema at scale: inferring one costs a pass over the data.
+
+    Columns of the schema are found by their names in the header, whatever their order, and come
+    back in the schema's order. A missing column, a file with another header and a value that does
+    not parse fail.
+    """
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = reader.csv(path).columns
+    if missing := [f.name for f in wanted if f.name not in names]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    kinds = {f.name: f for f in wanted}
+    whole = T.StructType([kinds.get(n, T.StructField(n, T.StringType())) for n in names])
+    return reader.schema(whole).option("enforceSchema", False).option("mode", "FAILFAST").csv(path).select(wanted.names)
 
 
 def load_catalog(
