@@ -67,7 +67,8 @@ class WordCodes:
         self.start, self.size = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        codes = self.encoding.encode_ordinary_batch(words, num_threads=1)
+        encode = self.encoding.encode_ordinary  # the batch call hands every word to a thread, which costs more than the word
+        codes = [encode(w) for w in words]
         sizes = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes))
         first = len(self.number) - len(words)
         while self.used + sizes.sum() > len(self.flat):
@@ -224,4 +225,5 @@ def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     folder = new_shared_path(spark, "token-files")
     placed = materialize(write_tokens(docs, folder, doc_id, text), "token-places")
     counted = scan_files(spark, placed.select("file").distinct(), folder)
-    return placed.join(counted, ["file", "nth"]).select("doc_id", "n_tokens")
+    # Both sides grow with the table but compress well, so Spark would underrate them: no broadcast.
+    return placed.join(counted.hint("merge"), ["file", "nth"]).select("doc_id", "n_tokens")
