@@ -130,8 +130,8 @@ def _near(fps: np.ndarray) -> Iterator[tuple[int, int]]:
             left = left[~close]
 
 
-def _bucket_links(rows: DataFrame) -> DataFrame:
-    """(a, b, key, off): links have a null key; a member of an oversized bucket comes back with its key."""
+def _bucket_links(rows: DataFrame, most: int) -> DataFrame:
+    """(a, b, key, off): links have a null key; a member of a bucket of more than ``most`` comes back with its key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, tail = _Forest(), None
@@ -146,7 +146,7 @@ def _bucket_links(rows: DataFrame) -> DataFrame:
             ones = np.add.reduceat(one.astype(np.int64), starts)
             many &= first[starts] | ((ones > 0) & (ones < sizes))
             for s, n in zip(starts[many].tolist(), sizes[many].tolist()):
-                if n > BUCKET_ROWS:
+                if n > most:
                     back_key.append(key[s : s + n]), back_fp.append(fp[s : s + n]), back_off.append(off[s : s + n])
                     continue
                 group = fp[s : s + n]
@@ -183,7 +183,9 @@ def near_links(distinct: DataFrame) -> DataFrame:
     found, width = [], 64
     rows = distinct.select(F.lit(0).cast("long").alias("key"), "fp", F.lit(0).alias("off"))
     while True:
-        out = materialize(_bucket_links(_variants(rows, width)), f"simhash-links-{width}")
+        # After the last cut a bucket is bounded by its 11 free bits and is solved whatever its size.
+        most = BUCKET_ROWS if width > 16 else sys.maxsize
+        out = materialize(_bucket_links(_variants(rows, width), most), f"simhash-links-{width}")
         found.append(out.filter("key IS NULL").select("a", "b"))
         rows, width = out.filter("key IS NOT NULL").select("key", F.col("a").alias("fp"), "off"), width // 2
         if width < 16 or rows.isEmpty():
