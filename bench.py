@@ -59,8 +59,6 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", cpus)
-        # Medians per store and weekday have many groups per task; their counters fit in memory.
-        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
