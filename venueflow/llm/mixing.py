@@ -124,17 +124,17 @@ def training_order(docs: DataFrame, doc_id: str = "doc_id", source: str = "sourc
 
     Documents not taken go. Wholly equal rows are first counted and then mixed one by one.
     """
-    (own, seat, copy) = free_names(docs, "row_key", "seat", "copy")
+    (own, seat) = free_names(docs, "row_key", "seat")
     keyed = docs.withColumn(own, F.xxhash64(*[docs[c] for c in docs.columns]))
     mixed = mix(keyed, doc_id, source, text, keyed[own]).filter("taken > 0")
-    # Equal rows have one key: their plans are listed together, so the join back gives each copy once.
     steps = mixed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("epoch"))
     at = positions((F.col("begins") + F.col("epoch") * F.col("source_size")).cast("double"), F.col("target"), F.col("ramp"))
-    seats = steps.groupBy(F.col("key").alias("plan_key"), F.col("doc_id").alias("plan_id")).agg(F.sort_array(F.collect_list(at)).alias("seats"))
+    seats = steps.select(F.col("key").alias("plan_key"), F.col("doc_id").alias("plan_id"), at.alias(seat))
+    # Equal rows have one key and are kept once; every seat takes that row, one by one.
     one = keyed.dropDuplicates([own, doc_id])
-    joined = one.join(seats, (one[own] == seats["plan_key"]) & one[doc_id].eqNullSafe(seats["plan_id"]))
-    placed = joined.select(*[one[c] for c in docs.columns], one[own], F.posexplode("seats").alias(copy, seat))
-    return placed.orderBy(seat, own, copy).select(*docs.columns)
+    placed = seats.join(one, (one[own] == seats["plan_key"]) & one[doc_id].eqNullSafe(seats["plan_id"]))
+    placed = placed.select(*[one[c] for c in docs.columns], one[own], seats[seat])
+    return placed.orderBy(seat, own).select(*docs.columns)
 
 
 def sql() -> str:
