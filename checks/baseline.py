@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from venueflow.operators.baseline import enrich_with_calendar, lookup_baseline, mean_of_means, sweep_exponents
+from venueflow.operators.baseline import enrich_with_calendar, lookup_baseline, mean_of_means, score_exponents
 from venueflow.operators.calendar import clear_weekend_holidays, with_recency_weights
 from venueflow.plans.forecast import baseline_forecast, fit_baseline, weighted_calendar
 from venueflow.plans.runs import baseline_run
@@ -111,15 +111,8 @@ def _(t):
     dated = enrich_with_calendar(t.visits(), cal, "visit_date")
     cut = F.date_sub(F.lit(t.last_visit()["last_day"]), 39)
     keys = ["store_id", "day_of_week", "holiday_flg"]
-    means = sweep_exponents(dated.filter(F.col("visit_date") <= cut), keys, names)
-    held = dated.filter(F.col("visit_date") > cut).select(*keys, F.log1p("visitors").alias("truth"))
-    scored = held.join(means, keys)
-    error = [F.avg(F.pow(F.col("truth") - F.col(n), F.lit(2.0))).alias(n) for n in names]
-    wide = scored.agg(F.count(F.lit(1)).alias("n_scored"), *error)
-    long = F.explode(F.array(*[F.struct(F.lit(p).alias("exponent"), F.sqrt(n).alias("rmsle")) for p, n in zip(exponents, names)]))
-    return wide.select("n_scored", long.alias("s")).select(
-        "s.exponent", "n_scored", F.round("s.rmsle", 6).alias("rmsle")
-    )
+    scores = score_exponents(dated, F.col("visit_date") > cut, keys, dict(zip(exponents, names)))
+    return scores.withColumn("rmsle", F.round("rmsle", 6))
 
 
 @query("s4_baseline_run_from_csv", "SELECT id, printf('%.4f', visitors) AS visitors FROM forecast")

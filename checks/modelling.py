@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 
 from checks.features import _DOW, _PAIRED, _PROFILE, TOKEN_SQL
 from checks.registry import query
+from venueflow.functions.columns import make_id
 from venueflow.operators import evaluate, models, select
 from venueflow.operators.split import chronological_holdout
 from venueflow.plans import ensemble
 from venueflow.plans.features import feature_frames, model_columns
-from venueflow.plans.forecast import baseline_forecast
+from venueflow.plans.forecast import baseline_forecast, parse_targets
 from venueflow.plans.runs import CATEGORIES
 from venueflow.plans.tuning import cross_validated_grid
 from venueflow.session import materialize
@@ -160,6 +161,98 @@ def _(t):
     return out.select("store_id", "visit_date", F.round(models.invert_log("p"), 5).alias("visitors"))
 
 
+# A two-valued feature makes one split of one tree the means of two groups.
+
+_HALVES = """SELECT store_id, visit_date, ln(1 + visitors) AS y, isodow(visit_date) >= 6 AS x FROM visits"""
+_GROUP_MEANS = f"""SELECT store_id, visit_date, round(avg(y) OVER (PARTITION BY x), 6) AS log_prediction FROM ({_HALVES})"""
+STUMP = dict(rounds=1, depth=1, rows=1.0)
+
+
+def halves(t):
+    weekend = F.when(F.weekday("visit_date") >= 5, 1.0).otherwise(0.0)
+    return materialize(t.visits().withColumn("weekend", weekend), "halves")
+
+
+def stump_predictions(t, estimator):
+    rows = halves(t)
+    out = models.predict_log(models.fit_log_target(estimator, rows, ["weekend"]), rows, "p")
+    return out.select("store_id", "visit_date", F.round("p", 6).alias("log_prediction"))
+
+
+@query("ml1_boosted_stump", _GROUP_MEANS)
+def _(t):
+    return stump_predictions(t, models.boosted_trees(**STUMP))
+
+
+@query("ml2_boosted_stump_column_sampling", _GROUP_MEANS)
+def _(t):
+    return stump_predictions(t, models.boosted_trees_with_column_sampling(**STUMP))
+
+
+@query("ml5_forest_stump", _GROUP_MEANS)
+def _(t):
+    return stump_predictions(t, models.random_forest(trees=1, depth=1, bootstrap=False))
+
+
+def stump_importance(t, importance):
+    model = models.fit_log_target(models.boosted_trees(**STUMP), halves(t), ["weekend"])
+    return importance(model.stages[-1], ["weekend"])
+
+
+_ONLY_FEATURE = f"SELECT 'weekend' AS feature, 1.0e0 AS score FROM ({_HALVES}) HAVING count(DISTINCT x) = 2"
+
+
+@query("e7_stump_split_importance", _ONLY_FEATURE)
+def _(t):
+    return stump_importance(t, select.split_importance)
+
+
+@query("e7_stump_gain_importance", _ONLY_FEATURE)
+def _(t):
+    return stump_importance(t, select.gain_importance)
+
+
+_FITTED = f"SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM ({_ONE})"
+
+
+def one_linear_member():
+    return [ensemble.spark_ml("linear", 1.0, models.linear())]
+
+
+@query(
+    "v9_linear_holdout_report",
+    f"""WITH r AS (SELECT *, row_number() OVER (ORDER BY visit_date, store_id) AS r, count(*) OVER () AS n FROM ({_ONE})),
+        f AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM r WHERE r <= n - floor(n * 0.1e0)),
+        p AS (SELECT y, a + b * x AS p FROM r, f WHERE r > n - floor(n * 0.1e0))
+        SELECT 'linear' AS model, count(*) AS n_rows, round(sqrt(avg(pow(y - p, 2))), 6) AS rmse FROM p
+        UNION ALL SELECT 'blend', count(*), round(sqrt(avg(pow(y - greatest(p, 0), 2))), 6) FROM p""",
+)
+def _(t):
+    train = materialize(one_feature(t).withColumn("id", make_id("store_id", "visit_date")), "one-feature")
+    return ensemble.holdout_report(train, ["x"], one_linear_member()).withColumn("rmse", F.round("rmse", 6))
+
+
+@query(
+    "b3_linear_ensemble_forecast",
+    f"""SELECT id, round(CASE WHEN level IS DISTINCT FROM 1 THEN model ELSE 0.7 * model + 0.3 * 1.1 * visitors END, 5) AS visitors
+        FROM (SELECT id, visitors, level, greatest(exp(a + b * x) - 1, 0) AS model
+              FROM forecast JOIN (SELECT DISTINCT store_id, x FROM ({_ONE})) USING (store_id), ({_FITTED}))""",
+)
+def _(t):
+    train = materialize(one_feature(t), "one-feature")
+    test = parse_targets(t.targets()).join(train.select("store_id", "x").distinct(), "store_id")
+    model = ensemble.fit_and_predict(train, test, ["x"], one_linear_member())
+    out = ensemble.final_forecast(model, baseline_forecast(t.visits(), t.calendar(), t.targets(), levels=1))
+    return out.withColumn("visitors", F.round("visitors", 5))
+
+
+@query("ml8_factor_model_range", "SELECT count(*) AS n_rows, true AS in_range FROM visits")
+def _(t):
+    rows = materialize(one_feature(t).withColumn("dow", F.weekday("visit_date")), "one-feature")
+    out = models.FactorModel(["x"], ["dow"]).fit(rows).predict_log(rows, "p")
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.every(F.col("p").between(0, models.LOG_CEILING)).alias("in_range"))
+
+
 @query(
     "m2_custom_metric",
     f"""WITH r AS (SELECT *, row_number() OVER (ORDER BY visit_date, store_id) AS r, count(*) OVER () AS n FROM ({_ONE})),

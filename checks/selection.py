@@ -8,6 +8,7 @@ from venueflow.functions.columns import make_id
 from venueflow.operators import blend, evaluate, knn, select, split
 from venueflow.operators.baseline import enrich_with_calendar, lookup_baseline, mean_of_means
 from venueflow.plans.forecast import add_baseline_feature, baseline_forecast, fit_baseline, weighted_calendar
+from venueflow.plans.tuning import refit_best_neighbours
 
 # ---- neighbours on the vector table ----
 
@@ -88,7 +89,7 @@ scores AS (
          count(*) FILTER (prediction = truth) AS n_hits, count(*) AS n_rows
   FROM voted GROUP BY ALL),
 means AS (
-  SELECT n_neighbors, weights, avg(n_hits / n_rows) AS mean_score, sum(n_hits) / sum(n_rows) AS pooled_score
+  SELECT n_neighbors, weights, avg(n_hits / n_rows) AS mean_score, stddev_pop(n_hits / n_rows) AS std_score, sum(n_hits) / sum(n_rows) AS pooled_score
   FROM scores GROUP BY ALL)
 """
 
@@ -105,11 +106,12 @@ ORDER = ["n_neighbors", "-weights"]
 
 @query(
     "v6_mean_scores",
-    grid_sql(5) + "SELECT n_neighbors, weights, round(mean_score, 6) AS mean_score, round(pooled_score, 6) AS pooled_score FROM means",
+    grid_sql(5) + """SELECT n_neighbors, weights, round(mean_score, 6) AS mean_score, round(std_score, 6) AS std_score,
+                            round(pooled_score, 6) AS pooled_score FROM means""",
 )
 def _(t):
     scored = evaluate.mean_scores(knn.grid_scores(folds(t, 5), 30), PARAMS)
-    return scored.withColumns({c: F.round(c, 6) for c in ("mean_score", "pooled_score")})
+    return scored.withColumns({c: F.round(c, 6) for c in ("mean_score", "std_score", "pooled_score")})
 
 
 @query(
@@ -138,9 +140,7 @@ SELECT query_id, arg_min(label, [-v, label]) AS prediction FROM tally GROUP BY q
 )
 def _(t):
     scored = evaluate.mean_scores(knn.grid_scores(folds(t, 5), 30), PARAMS)
-    best = evaluate.best_params(scored, "pooled_score", ORDER).first()
-    k = best["n_neighbors"]
-    return knn.classify(knn.nearest(*sides(t), k), k, best["weights"])
+    return refit_best_neighbours(*sides(t), scored, ORDER)
 
 
 _DRAW = """, drawn AS (

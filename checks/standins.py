@@ -106,11 +106,9 @@ class Standins:
         return self._span
 
     def calendar(self) -> DataFrame:
-        span = self.last_visit()
-        first, last = F.lit(span["first_day"]), F.lit(span["last_day"])
-        days = self.spark.range(1).select(
-            F.explode(F.sequence(first, F.date_add(last, HORIZON_DAYS))).alias("calendar_date")
-        )
+        shipped = F.col("l_shipdate")
+        span = self.table("lineitem").agg(F.min(shipped).cast("date").alias("a"), F.max(shipped).cast("date").alias("b"))
+        days = span.select(F.explode(F.sequence("a", F.date_add("b", HORIZON_DAYS))).alias("calendar_date"))
         d = F.col("calendar_date")
         special = F.dayofmonth(d).isin(1, 15) | ((F.month(d) == 12) & (F.dayofmonth(d) >= 24))
         return days.select(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venueflow.functions.columns import weighted_mean
+from venueflow.functions.columns import rmse, weighted_mean
 
 
 def enrich_with_calendar(
@@ -52,6 +52,22 @@ def sweep_exponents(
     return known.groupBy(*keys).agg(*[weighted_mean(value, w).alias(w) for w in weights])
 
 
+def score_exponents(
+    dated: DataFrame, held: Column, keys: Sequence[str], weights: dict[int, str], measure: str = "visitors"
+) -> DataFrame:
+    """(exponent, n_scored, rmsle): each exponent's baseline from the rows not held out, scored on the held ones.
+
+    ``weights`` maps exponents to weight columns of ``dated``; all of them share one aggregation and one join.
+    """
+    means = sweep_exponents(dated.filter(~held), keys, list(weights.values()), measure)
+    truth = dated.filter(held).select(*keys, F.log1p(F.col(measure)).alias("_truth"))
+    wide = truth.join(means, list(keys)).agg(
+        F.count(F.lit(1)).alias("n_scored"), *[rmse("_truth", w).alias(w) for w in weights.values()]
+    )
+    rows = F.explode(F.array(*[F.struct(F.lit(p).alias("exponent"), F.col(w).alias("rmsle")) for p, w in weights.items()]))
+    return wide.select("n_scored", rows.alias("r")).select("r.exponent", "n_scored", "r.rmsle")
+
+
 def _entity_profile(baseline: DataFrame, entity: str, context: Sequence[str], name: str) -> DataFrame:
     # At most one map entry per context combination (7 weekdays x 2 flags, x12 with months).
     entry = F.struct(F.struct(*context), F.col(name))

@@ -45,9 +45,11 @@ def score_report(df: DataFrame, truth: str, predictions: Sequence[str], name: st
 
 
 def mean_scores(scores: DataFrame, params: Sequence[str]) -> DataFrame:
-    """Per parameter set: the mean of fold accuracies and the accuracy pooled over all rows."""
+    """Per parameter set: mean and spread of the fold accuracies, and the accuracy pooled over all rows."""
+    accuracy_of_fold = F.col("n_hits") / F.col("n_rows")
     return scores.groupBy(*params).agg(
-        F.avg(F.col("n_hits") / F.col("n_rows")).alias("mean_score"),
+        F.avg(accuracy_of_fold).alias("mean_score"),
+        F.stddev_pop(accuracy_of_fold).alias("std_score"),
         (F.sum("n_hits") / F.sum("n_rows")).alias("pooled_score"),
     )
 

@@ -22,7 +22,8 @@ from venueflow.session import materialize
 # The functions below travel with the tasks, so workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_ROWS = 8192  # rows of either side compared in one group
+BLOCK_ROWS = 8192  # most rows of either side compared in one group
+LEAST_BLOCK = 64  # small tables are cut into a block per task slot, but none below this
 QUERY_CHUNK = 256  # queries ranked at a time inside a block
 EXACT_CHUNK = 100_000  # candidate pairs measured at a time
 MAX_PIVOTS = 256
@@ -165,13 +166,14 @@ def nearest(
     vector: str = "vec",
     payload: str = "label",
     fold: str | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     max_pivots: int = MAX_PIVOTS,
 ) -> DataFrame:
     """The k nearest training rows of every query by (Euclidean distance, id), exactly.
 
     Returns (query_id, rank, train_id, distance, payload). With ``fold``, a query only sees
-    training rows of other folds. ``train_id`` and ``query_id`` must be unique.
+    training rows of other folds. ``train_id`` and ``query_id`` must be unique. A block holds the
+    training rows of one task slot, between LEAST_BLOCK and BLOCK_ROWS, unless ``block_rows`` is given.
     """
     by_fold = [fold] if fold else []
     train = train.select(train_id, vector, payload, *by_fold)
@@ -180,6 +182,9 @@ def nearest(
     rows = kept.count()
     if rows == 0:
         raise ValueError("no training rows")
+    if block_rows is None:
+        slots = train.sparkSession.sparkContext.defaultParallelism
+        block_rows = min(BLOCK_ROWS, max(LEAST_BLOCK, -(-rows // slots)))
     pivots = _pick_pivots(kept, train_id, vector, rows, block_rows, max_pivots)
     cells = materialize(_with_cells(kept, vector, pivots), "cells")
     summary = _cell_summary(cells, len(pivots), k, fold)
@@ -276,8 +281,9 @@ def classify_all_k(
             # Rows with fewer than k neighbours are padded; padding never votes (its weight is 0).
             labels = np.full((b.num_rows, k), np.iinfo(np.int64).max, dtype=np.int64)
             distances = np.full((b.num_rows, k), np.inf)
-            for i, (ls, ds) in enumerate(zip(b.column("_labels").to_pylist(), b.column("_distances").to_pylist())):
-                labels[i, : len(ls)], distances[i, : len(ds)] = ls, ds
+            held = b.column("_labels")
+            there = np.arange(k) < held.value_lengths().to_numpy(zero_copy_only=False)[:, None]
+            labels[there], distances[there] = held.flatten().to_numpy(), b.column("_distances").flatten().to_numpy()
             columns = [pa.array(list(_prefix_votes(labels, distances, w)), pa.list_(pa.int64())) for w in weightings]
             yield pa.RecordBatch.from_arrays([b.column(query_id), *columns], names=schema.fieldNames())
 

@@ -29,8 +29,8 @@ def boosted_trees_with_column_sampling(columns: float = 0.8, **params) -> GBTReg
     return boosted_trees(featureSubsetStrategy=str(columns), **params)
 
 
-def random_forest(trees: int = 10, depth: int = 10, seed: int = 10) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol=LOG_TARGET, numTrees=trees, maxDepth=depth, seed=seed)
+def random_forest(trees: int = 10, depth: int = 10, seed: int = 10, **params) -> RandomForestRegressor:
+    return RandomForestRegressor(labelCol=LOG_TARGET, numTrees=trees, maxDepth=depth, seed=seed, **params)
 
 
 def linear() -> LinearRegression:
