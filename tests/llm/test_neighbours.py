@@ -48,3 +48,18 @@ def test_few_and_no_rows(spark):
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in neighbours.nearest(few).collect()) == [(0, 1, 20, 0.0), (20, 1, 0, 0.0)]
     assert neighbours.nearest(spark.createDataFrame([(0, [1.0], 0)], SCHEMA)).count() == 0
     assert neighbours.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_recall_on_clustered_vectors(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(100, 64))[rng.integers(0, 100, 4000)] + 0.1 * rng.normal(size=(4000, 64))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, SCHEMA), every=40).collect():
+        got.setdefault(r["query_id"], []).append(r["score"])
+    score = x[::40].astype(float) @ x.astype(float).T
+    score[np.arange(100), np.arange(0, 4000, 40)] = -np.inf
+    lowest = np.sort(score, axis=1)[:, -20]
+    hits = sum(s >= lowest[q // 40] - 1e-9 for q, found in got.items() for s in found)
+    assert all(len(found) == 20 for found in got.values()) and hits / 2000 >= 0.9

@@ -5,7 +5,8 @@ each shard a neighbour graph grows from random links: Spark joins every node's n
 ways) with their neighbours, and the task that holds the shard's vectors keeps the K nearest of
 what it was offered. Rounds end after ``ROUNDS``, or when few links still change. A query walks
 every shard's graph greedily, keeping a beam of the best nodes found and expanding the best not yet
-expanded. The shards' answers are merged by score. Rows are indexed all; nothing is sampled.
+expanded. It starts from its own node, where the shard has it, and from a set of nodes that every
+node is in or linked to, so no cluster is out of reach. The shards' answers are merged by score. Rows are indexed all; nothing is sampled.
 
 Equal vectors are indexed once; a query's answer lists their ids again, smallest first. No answer
 needs more than k + 1 ids of one vector, and the rank filter that keeps these runs before the
@@ -36,7 +37,6 @@ K = 16  # links of a node
 ROUNDS = 8
 STILL = 0.02  # share of links that may still change when the rounds end
 BEAM = 96
-STARTS = 24
 EXPAND = 4  # nodes expanded at a time
 QUERY_BLOCK = 128
 NODE_BLOCK = 256
@@ -130,19 +130,36 @@ def neighbour_table(links: np.ndarray) -> np.ndarray:
     return out
 
 
-def greedy(x: np.ndarray, table: np.ndarray, q: np.ndarray, beam: int, seed: int) -> np.ndarray:
-    """Nodes in each query's final beam, best first, padded with -1. All queries of the block step together."""
+def spanning_starts(table: np.ndarray) -> np.ndarray:
+    """Nodes such that every node is one of them or linked to one; so every component holds some."""
+    covered = np.zeros(len(table), dtype=bool)
+    starts = []
+    for i, row in enumerate(table):
+        if not covered[i]:
+            starts.append(i)
+            covered[i] = True
+            covered[row[row >= 0]] = True
+    return np.array(starts, dtype=np.int64)
+
+
+def greedy(x: np.ndarray, table: np.ndarray, q: np.ndarray, beam: int, starts: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Nodes in each query's final beam, best first, padded with -1. All queries of the block step together.
+
+    ``own`` is each query's own node, -1 where there is none.
+    """
     n, m = len(x), len(q)
     rows = np.arange(m)[:, None]
-    starts = np.random.default_rng(seed).permutation(n)[: max(STARTS, 1)]
     seen = np.zeros((m, n), dtype=bool)
     seen[:, starts] = True
-    ids = np.full((m, beam), -1, dtype=np.int64)
-    score = np.full((m, beam), -np.inf, dtype=np.float32)
-    done = np.ones((m, beam), dtype=bool)
-    width = min(beam, len(starts))
-    ids[:, :width], done[:, :width] = starts[:width], False
-    score[:, :width] = q @ x[starts[:width]].T
+    extra = (own >= 0) & ~seen[np.arange(m), np.maximum(own, 0)]
+    seen[extra, own[extra]] = True
+    ids = np.hstack((np.broadcast_to(starts, (m, len(starts))), np.where(extra, own, -1)[:, None], np.full((m, beam), -1)))
+    score = np.full(ids.shape, -np.inf, dtype=np.float32)
+    score[:, : len(starts)] = q @ x[starts].T
+    score[extra, len(starts)] = np.einsum("ij,ij->i", q[extra], x[own[extra]])
+    order = np.argsort(-score, axis=1, kind="stable")[:, :beam]
+    ids, score = ids[rows, order], score[rows, order]
+    done = ids < 0
     while True:
         open_score = np.where(done, -np.inf, score)
         pick = np.argpartition(-open_score, min(EXPAND, beam) - 1, axis=1)[:, :EXPAND]
@@ -160,7 +177,7 @@ def greedy(x: np.ndarray, table: np.ndarray, q: np.ndarray, beam: int, seed: int
         r, c = r[fresh], c[fresh]
         seen[r, c] = True
         s = np.einsum("ij,ij->i", q[r], x[c])
-        better = s > score[r, -1] if width == beam else np.ones(len(s), dtype=bool)
+        better = s > score[r, -1]
         r, c, s = r[better], c[better], s[better]
         most = int(np.bincount(r, minlength=m).max()) if len(r) else 0
         if most:
@@ -171,7 +188,6 @@ def greedy(x: np.ndarray, table: np.ndarray, q: np.ndarray, beam: int, seed: int
             done = np.hstack((done, new_ids < 0))
         order = np.argsort(-score, axis=1, kind="stable")[:, :beam]
         ids, score, done = ids[rows, order], score[rows, order], done[rows, order]
-        width = beam
     return ids
 
 
@@ -186,11 +202,15 @@ def _search(k: int):
         for i, r in enumerate(graph.column("links").to_pylist()):
             links[i, : len(r)] = r
         table = neighbour_table(links)
+        starts = spanning_starts(table)
         q, who = _matrix(queries.column("vector")), queries.column("query").to_numpy()
+        by_node = np.argsort(node)
+        own = by_node[np.minimum(np.searchsorted(node, who, sorter=by_node), len(node) - 1)]
+        own = np.where(node[own] == who, own, -1)
         wide = x.astype(np.float64)
         parts = []
         for i in range(0, len(q), QUERY_BLOCK):
-            ids = greedy(x, table, q[i : i + QUERY_BLOCK], max(BEAM, 2 * k), int(graph.column("shard")[0].as_py()))
+            ids = greedy(x, table, q[i : i + QUERY_BLOCK], max(BEAM, 2 * k), starts, own[i : i + QUERY_BLOCK])
             exact = np.einsum("ijk,ik->ij", wide[np.maximum(ids, 0)], q[i : i + QUERY_BLOCK].astype(np.float64))
             exact[ids < 0] = -np.inf
             order = np.lexsort((node[np.maximum(ids, 0)], -exact))[:, : k + 1]
