@@ -63,3 +63,26 @@ def test_recall_on_clustered_vectors(spark):
     lowest = np.sort(score, axis=1)[:, -20]
     hits = sum(s >= lowest[q // 40] - 1e-9 for q, found in got.items() for s in found)
     assert all(len(found) == 20 for found in got.values()) and hits / 2000 >= 0.9
+
+
+def test_tasks_hold_bounded_blocks_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 64)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 16, raising=False)
+    search = neighbours._search
+
+    def bounded(k):
+        run = search(k)
+
+        def checked(graph, queries):
+            assert queries.num_rows <= 64  # blocks are dealt by hash, 16 rows each on average
+            return run(graph, queries)
+
+        return checked
+
+    monkeypatch.setattr(neighbours, "_search", bounded)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(200)]
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA), every=1).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == {q: [i for _, i in best] for q, best in brute(rows, every=1).items()}

@@ -6,7 +6,9 @@ ways) with their neighbours, and the task that holds the shard's vectors keeps t
 what it was offered. Rounds end after ``ROUNDS``, or when few links still change. A query walks
 every shard's graph greedily, keeping a beam of the best nodes found and expanding the best not yet
 expanded. It starts from its own node, where the shard has it, and from a set of nodes that every
-node is in or linked to, so no cluster is out of reach. The shards' answers are merged by score. Rows are indexed all; nothing is sampled.
+node is in or linked to, so no cluster is out of reach. Queries are dealt by hash into blocks of about
+``QUERY_ROWS``, and a task holds one shard and one block. The shards' answers are merged by score.
+Rows are indexed all; nothing is sampled.
 
 Equal vectors are indexed once; a query's answer lists their ids again, smallest first. No answer
 needs more than k + 1 ids of one vector, and the rank filter that keeps these runs before the
@@ -33,6 +35,7 @@ from venueflow.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARD_ROWS = 4096
+QUERY_ROWS = 4096  # queries that meet a shard in one task
 K = 16  # links of a node
 ROUNDS = 8
 STILL = 0.02  # share of links that may still change when the rounds end
@@ -242,8 +245,14 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec
     asked = rows.filter(F.col("vec_id") % every == 0)
     asked = materialize(asked.join(nodes, "vector").select(F.col("node").alias("query"), F.col("vec_id").alias("query_id")), "ann-queries")
     distinct = nodes.join(asked.select(F.col("query").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("query"), "vector")
-    sent = distinct.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("to_shard"), "query", "vector")
-    found = graph.groupBy("shard").cogroup(sent.groupBy("to_shard")).applyInArrow(_search(k), "query long, node long, score double")
+    distinct = materialize(distinct, "ann-distinct")
+    blocks = max(1, math.ceil(distinct.count() / QUERY_ROWS))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    # Every block of queries meets every shard; neither side of a task grows with the table.
+    sent = distinct.withColumn("to_block", F.pmod(F.xxhash64("query"), F.lit(blocks))).select(each(shards).alias("to_shard"), "to_block", "query", "vector")
+    dealt = graph.select(each(blocks).alias("block"), *graph.columns)
+    tasks = dealt.groupBy("shard", "block").cogroup(sent.groupBy("to_shard", "to_block"))
+    found = tasks.applyInArrow(_search(k), "query long, node long, score double")
     listed = found.join(copies.select("node", "vec_id"), "node")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     # One more than k, since a query's own row may be among them; repeated ids of it as well.
