@@ -86,3 +86,23 @@ def test_tasks_hold_bounded_blocks_of_queries(spark, monkeypatch):
     for r in neighbours.nearest(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA), every=1).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append(r["vec_id"])
     assert got == {q: [i for _, i in best] for q, best in brute(rows, every=1).items()}
+
+
+def test_repeated_ids_are_listed_once(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(60)]
+    # The table twice; id 20 on two vectors, one of them also id 40's, both with 20 as their smallest id; id 7 on many vectors that lie nearest to id 0.
+    near = (10 * np.array(rows[0][1]) + rng.normal(scale=0.01, size=(150, 4))).tolist()
+    rows = 2 * rows + [(20, rows[40][1])] + [(7, v) for v in near] + [(0, v) for v in near[:40]]
+    best = {}
+    for q, x in rows:
+        for i, v in rows:
+            if q % 20 == 0 and i != q:
+                score = float(np.array(x, dtype=np.float32).astype(float) @ np.array(v, dtype=np.float32).astype(float))
+                best[q, i] = max(score, best.get((q, i), -np.inf))
+    want = {q: sorted((-s, i) for (p, i), s in best.items() if p == q)[:20] for q in (0, 20, 40)}
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
+    assert {q: [i for _, i in found] for q, found in got.items()} == {q: [i for _, i in found] for q, found in want.items()}
+    assert all(np.allclose([s for s, _ in got[q]], [s for s, _ in want[q]]) for q in want)

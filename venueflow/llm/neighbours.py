@@ -12,11 +12,13 @@ Rows are indexed all; nothing is sampled.
 
 Equal vectors are indexed once; a query's answer lists their ids again, smallest first. No answer
 needs more than k + 1 ids of one vector, and the rank filter that keeps these runs before the
-shuffle, so a hot vector stays harmless.
+shuffle, so a hot vector stays harmless. A search goes on until it names k + 1 different ids: where
+the beam holds fewer, since few ids have many vectors, the query is compared with the whole shard.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part,
-nor do vectors of another length than most; rows without an id take no part; repeated ids count
-as rows of their own but are never their own query's neighbours; an empty table gives an empty one.
+nor do vectors of another length than most; rows without an id take no part; repeated rows count
+once; an id with several vectors has one answer and is listed once in others', and two ids are as near
+as the nearest of their vectors; no id is its own neighbour; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ BEAM = 96
 EXPAND = 4  # nodes expanded at a time
 QUERY_BLOCK = 128
 NODE_BLOCK = 256
+WHOLE_IDS = 1_000_000  # ids ranked at a time where queries are compared with a whole shard
 
 
 def usable(vector) -> F.Column:
@@ -194,9 +197,27 @@ def greedy(x: np.ndarray, table: np.ndarray, q: np.ndarray, beam: int, starts: n
     return ids
 
 
+def _best_ids(score: np.ndarray, nodes: np.ndarray, ids: np.ndarray, first: np.ndarray, count: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, id, score): the ``most`` best different ids of each row's ``nodes`` (-1 pads); ties go to the smaller id."""
+    r, c = np.nonzero(nodes >= 0)
+    at, s = nodes[r, c], score[r, c]
+    n = count[at]
+    offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    r, s, named = np.repeat(r, n), np.repeat(s, n), ids[np.repeat(first[at], n) + offset]
+    order = np.lexsort((-s, named, r))
+    r, s, named = r[order], s[order], named[order]
+    new = np.ones(len(r), dtype=bool)
+    new[1:] = (r[1:] != r[:-1]) | (named[1:] != named[:-1])
+    r, s, named = r[new], s[new], named[new]
+    order = np.lexsort((named, -s, r))
+    r, s, named = r[order], s[order], named[order]
+    kept = np.arange(len(r)) - np.searchsorted(r, r) < most
+    return r[kept], named[kept], s[kept]
+
+
 def _search(k: int):
     def run(graph: pa.Table, queries: pa.Table) -> pa.Table:
-        empty = pa.table({"query": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        empty = pa.table({"query": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not graph.num_rows or not queries.num_rows:
             return empty
         graph = graph.sort_by("at")
@@ -206,22 +227,34 @@ def _search(k: int):
             links[i, : len(r)] = r
         table = neighbour_table(links)
         starts = spanning_starts(table)
+        lists = graph.column("ids").combine_chunks()
+        named, count = lists.flatten().to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False)
+        first = np.cumsum(count) - count
         q, who = _matrix(queries.column("vector")), queries.column("query").to_numpy()
         by_node = np.argsort(node)
         own = by_node[np.minimum(np.searchsorted(node, who, sorter=by_node), len(node) - 1)]
         own = np.where(node[own] == who, own, -1)
         wide = x.astype(np.float64)
+        beam = max(BEAM, 2 * k)
         parts = []
         for i in range(0, len(q), QUERY_BLOCK):
-            ids = greedy(x, table, q[i : i + QUERY_BLOCK], max(BEAM, 2 * k), starts, own[i : i + QUERY_BLOCK])
-            exact = np.einsum("ijk,ik->ij", wide[np.maximum(ids, 0)], q[i : i + QUERY_BLOCK].astype(np.float64))
-            exact[ids < 0] = -np.inf
-            order = np.lexsort((node[np.maximum(ids, 0)], -exact))[:, : k + 1]
-            ids, exact = np.take_along_axis(ids, order, axis=1), np.take_along_axis(exact, order, axis=1)
-            r, c = np.nonzero(ids >= 0)
-            parts.append((who[i + r], node[ids[r, c]], exact[r, c]))
+            block = q[i : i + QUERY_BLOCK]
+            ids = greedy(x, table, block, beam, starts, own[i : i + QUERY_BLOCK])
+            exact = np.einsum("ijk,ik->ij", wide[np.maximum(ids, 0)], block.astype(np.float64))
+            r, v, s = _best_ids(exact, ids, named, first, count, k + 1)
+            few = np.bincount(r, minlength=len(block)) <= k
+            if few.any() and len(x) > beam:
+                parts.append((who[i + r[~few[r]]], v[~few[r]], s[~few[r]]))
+                few = np.flatnonzero(few)
+                step = max(1, WHOLE_IDS // len(named))
+                for some in (few[j : j + step] for j in range(0, len(few), step)):
+                    exact = np.einsum("jk,ik->ij", wide, block[some].astype(np.float64))
+                    r, v, s = _best_ids(exact, np.broadcast_to(np.arange(len(x)), exact.shape), named, first, count, k + 1)
+                    parts.append((who[i + some[r]], v, s))
+                continue
+            parts.append((who[i + r], v, s))
         a, b, s = (np.concatenate(p) for p in zip(*parts))
-        return pa.table({"query": a, "node": b, "score": s})
+        return pa.table({"query": a, "vec_id": b, "score": s})
 
     return run
 
@@ -234,10 +267,12 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec
     rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[vector].cast("array<float>").alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     size = rows.agg(F.mode(F.size("vector"), True)).first()[0]
-    rows = rows.filter(F.size("vector") == F.lit(size if size is not None else 0))
+    rows = rows.filter(F.size("vector") == F.lit(size if size is not None else 0)).distinct()
     same = Window.partitionBy("vector").orderBy("vec_id")
     copies = rows.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1)
-    copies = materialize(copies.withColumn("node", F.min("vec_id").over(Window.partitionBy("vector"))), "ann-copies")
+    # A vector's number is that of one of its rows: ids do not tell vectors apart, as one id may have several.
+    copies = copies.withColumn("row", F.monotonically_increasing_id()).withColumn("node", F.min("row").over(Window.partitionBy("vector")))
+    copies = materialize(copies.drop("row"), "ann-copies")
     nodes = copies.filter("nth = 1").select("node", "vector")
     shards = max(1, math.ceil(nodes.count() / SHARD_ROWS))
     graph = build_graph(nodes.select(F.pmod(F.xxhash64("node"), F.lit(shards)).alias("shard"), "node", "vector"))
@@ -250,14 +285,16 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     # Every block of queries meets every shard; neither side of a task grows with the table.
     sent = distinct.withColumn("to_block", F.pmod(F.xxhash64("query"), F.lit(blocks))).select(each(shards).alias("to_shard"), "to_block", "query", "vector")
-    dealt = graph.select(each(blocks).alias("block"), *graph.columns)
+    ids = copies.groupBy(F.col("node").alias("of")).agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    dealt = graph.join(ids, graph["node"] == ids["of"]).select(each(blocks).alias("block"), *[graph[c] for c in graph.columns], "ids")
     tasks = dealt.groupBy("shard", "block").cogroup(sent.groupBy("to_shard", "to_block"))
-    found = tasks.applyInArrow(_search(k), "query long, node long, score double")
-    listed = found.join(copies.select("node", "vec_id"), "node")
+    found = tasks.applyInArrow(_search(k), "query long, vec_id long, score double")
+    listed = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    # One more than k, since a query's own row may be among them; repeated ids of it as well.
+    # One more than k, since the id that asks may be among them.
     listed = listed.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
     answers = asked.join(listed.select("query", "vec_id", "score"), "query").filter("vec_id <> query_id")
+    answers = answers.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     answers = answers.withColumn("rank", F.row_number().over(final).cast("int")).filter(F.col("rank") <= k)
     return answers.select("query_id", "rank", "vec_id", "score")
