@@ -45,3 +45,16 @@ def test_license_texts_in_other_dress(docs, empty):
     assert [rows[i][0] for i in range(7)] == ["MIT", "MIT", None, None, None, None, None]
     assert rows[3][1] == "Apache-2.0,MIT" and rows[4][1] == ""
     assert licenses.scan(empty).count() == 0
+
+
+def test_whole_texts_of_common_licenses_and_of_a_table(spark, docs):
+    whole = {(name, text) for kind, name, text in licenses.known() if kind == "license"}
+    named = ("BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")
+    assert set(named) <= {name for name, _ in whole}
+    cases = sorted(whole)
+    cases += [(name, "\n".join(p.replace("\n", " ") for p in text.split("\n\n"))) for name, text in cases if name == "Apache-2.0" and "APPENDIX" not in text]
+    cases += [("MIT", f"{head}\n\n{licenses.LICENSES['MIT']}") for head in ("Copyright The X Authors", "Copyright: 2020 X", "(c)2020 X", "(c) Some One")]
+    cases += [("Own", "You may read this."), (None, "You may not."), (None, ""), (None, None)]
+    more = spark.createDataFrame([("Own", "YOU may read this"), ("Nothing", ""), ("Null", None), ("Late", licenses.LICENSES["MIT"])], "license string, text string")
+    rows = licenses.scan(docs([text for _, text in cases]), more=more).orderBy("doc_id").collect()
+    assert [r["license"] for r in rows] == [name for name, _ in cases]

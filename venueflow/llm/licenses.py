@@ -12,10 +12,16 @@ empty table gives an empty one.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COPYRIGHT_LINE = r"^[\x20\x09*#/;-]*(copyright[\x20\x09]+(\(c\)|©|[0-9]{4}|\[|<|by)|\(c\)[\x20\x09]|©|all rights reserved)"
+SQL_COPYRIGHT_LINE = r"^[\x20\x09*#/;-]*(copyright[\x20\x09]+(\(c\)|©|[0-9]{4}|\[|<|by)|\(c\)[\x20\x09]|©|all rights reserved)"  # of the SQL row
+COPYRIGHT_LINE = (
+    r"^[\x20\x09*#/;-]*(copyright[\x20\x09]*(\(c\)|©|[0-9]{4}|\[|<|:)|copyright[\x20\x09]+by|\(c\)[0-9]{4}|\(c\)[\x20\x09](?!you[\x20\x09])|©|all rights reserved"
+    r"|copyright[\x20\x09]+the[\x20\x09][^,;:]*[\x20\x09](authors|contributors|developers|project|team|foundation)\b[\x20\x09.]*(all rights reserved\.?)?[\x20\x09]*$)"
+)
 # Equivalent spellings (fixed values), applied in this order to lower-case text.
 SPELLINGS = (
     ("licence", "license"), ("sub-license", "sublicense"), ("sub license", "sublicense"), ("https://", "http://"),
@@ -78,10 +84,38 @@ LICENSES = {
 }
 
 
-def known() -> list[tuple[str, str, str]]:
-    """(kind, license, text) of everything known; licenses with and without their title line."""
-    rows = [("notice", name, text) for name, texts in NOTICES.items() for text in texts]
-    for name, text in LICENSES.items():
+_BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution.\n\n"
+)
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.\n\n"
+)
+_BSD_WARRANTY = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+BSD = {
+    "BSD-2-Clause": f"BSD 2-Clause License\n\n{_BSD_HEAD}{_BSD_WARRANTY}",
+    "BSD-3-Clause": f"BSD 3-Clause License\n\n{_BSD_HEAD}{_BSD_THIRD}{_BSD_WARRANTY}",
+}
+# Long texts as files: the license named, and the file under license_texts.
+FILES = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0"}
+
+
+def _untitled(texts: dict[str, str]) -> list[tuple[str, str, str]]:
+    """(kind, license, text) of whole texts, with and without their title line."""
+    rows = []
+    for name, text in texts.items():
         rows.append(("license", name, text))
         title, _, rest = text.partition("\n\n")
         if title.endswith("License"):
@@ -89,6 +123,24 @@ def known() -> list[tuple[str, str, str]]:
     return rows
 
 
+def _sql_known() -> list[tuple[str, str, str]]:
+    """(kind, license, text) known to the SQL row."""
+    return [("notice", name, text) for name, texts in NOTICES.items() for text in texts] + _untitled(LICENSES)
+
+
+def known() -> list[tuple[str, str, str]]:
+    """(kind, license, text) of everything known; licenses with and without their title line."""
+    folder = Path(__file__).parent / "license_texts"
+    files = []
+    for name, file in FILES.items():
+        text = (folder / file).read_text(encoding="utf-8")
+        files.append(("license", name, text))
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        if end:  # often given without the advice on how to apply them
+            files.append(("license", name, terms + end))
+    return _sql_known() + _untitled(BSD) + files
+
+
 def canonical(text: Column) -> Column:
     """The normalised text: words of letters, digits and dots inside numbers, one blank between them."""
     lines = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "\n"), lambda x: ~x.rlike(COPYRIGHT_LINE))
@@ -102,25 +154,34 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_table(spark: SparkSession) -> DataFrame:
-    """(kind, digest, license): a few rows, from the fixed tables above."""
+def known_table(spark: SparkSession, more: DataFrame | None = None) -> DataFrame:
+    """(kind, digest, license): a few rows, from the fixed tables above and the whole texts of ``more(license, text)``."""
     df = spark.createDataFrame(known(), "kind string, license string, text string")
+    if more is not None:
+        fixed = df.select(digest(F.col("text")).alias("fixed_digest")).distinct()
+        added = more.filter(F.col("license").isNotNull() & (canonical(F.col("text")) != "")).select(F.lit("license").alias("kind"), "license", "text")
+        # One license a digest: the fixed texts first, then the smallest name.
+        added = added.join(fixed, digest(F.col("text")) == fixed["fixed_digest"], "left_anti")
+        df = df.union(added.groupBy("kind", digest(F.col("text")).alias("d")).agg(F.min_by("text", "license").alias("text"), F.min("license").alias("license")).select("kind", "license", "text"))
     return df.select("kind", digest(F.col("text")).alias("known_digest"), "license").distinct()
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, digest, license (of the entire text, or null) and notices (licenses named by entire lines, joined by commas)."""
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", more: DataFrame | None = None) -> DataFrame:
+    """doc_id, digest, license (of the entire text, or null) and notices (licenses named by entire lines, joined by commas).
+
+    ``more(license, text)`` adds whole license texts to the known ones.
+    """
     spark = docs.sparkSession
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    table = known_table(spark)
+    table = known_table(spark, more)
     licenses = table.filter("kind = 'license'").select("known_digest", "license")
     notices = table.filter("kind = 'notice'").agg(F.map_from_entries(F.collect_list(F.struct("known_digest", "license"))).alias("by_digest")).first()["by_digest"]
     by_digest = F.create_map(*[F.lit(x) for pair in sorted(notices.items()) for x in pair])
     hinted = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), lambda x: F.lower(x).rlike(NOTICE_HINT))
     named = F.array_sort(F.array_distinct(F.array_compact(F.transform(hinted, lambda x: F.element_at(by_digest, digest(x))))))
     rows = rows.select("doc_id", digest(F.col("text")).alias("digest"), F.array_join(named, ",").alias("notices"))
-    # The known digests are a few dozen fixed rows.
-    joined = rows.join(F.broadcast(licenses), rows["digest"] == licenses["known_digest"], "left")
+    # The fixed digests are a few dozen rows; a caller's table may be of any size.
+    joined = rows.join(F.broadcast(licenses) if more is None else licenses, rows["digest"] == licenses["known_digest"], "left")
     return joined.select("doc_id", "digest", "license", "notices")
 
 
@@ -131,12 +192,12 @@ def sql() -> str:
         return "'" + s.replace("'", "''") + "'"
 
     def norm(expr: str) -> str:
-        out = f"array_to_string(list_filter(string_split(lower(coalesce({expr}, '')), chr(10)), lambda l: NOT regexp_matches(l, {q(COPYRIGHT_LINE)})), ' ')"
+        out = f"array_to_string(list_filter(string_split(lower(coalesce({expr}, '')), chr(10)), lambda l: NOT regexp_matches(l, {q(SQL_COPYRIGHT_LINE)})), ' ')"
         for old, new in SPELLINGS:
             out = f"replace({out}, {q(old)}, {q(new)})"
         return f"sha256(trim(regexp_replace({out}, '[^a-z0-9]+', ' ', 'g')))"
 
-    values = ", ".join(f"({q(kind)}, {q(name)}, {q(text)})" for kind, name, text in known())
+    values = ", ".join(f"({q(kind)}, {q(name)}, {q(text)})" for kind, name, text in _sql_known())
     return f"""
     WITH k AS (SELECT DISTINCT kind, name, {norm("body")} AS digest FROM (VALUES {values}) AS v(kind, name, body)),
     d AS (SELECT doc_id, text, {norm("text")} AS digest FROM documents),
