@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from checks.compare import compare, duck
 from venueflow.llm import quality
 from venueflow.llm.common import SPACE
@@ -63,3 +65,9 @@ def test_no_python_in_the_plan_and_empty_table(empty):
     out = quality.quality(empty)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 0 and "Python" not in plan and "Arrow" not in plan
+
+
+def test_length_alone_breaks_no_rule(spark):
+    m = {"n_words": 2_000_000, "mean_word_chars": 5.0, "symbol_ratio": 0.0, "stop_ratio": 0.3, "dup_line_ratio": 0.0, "ellipsis_line_ratio": 0.0, "bullet_line_ratio": 0.0}
+    row = spark.createDataFrame([m]).withColumn("m", F.struct("*"))
+    assert row.select(quality.broken(F.col("m")).alias("b")).first()["b"] == []
