@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venueflow.llm import licenses, mixing, neighbours, packing, pii, quality, sentencepieces, simhash, tokenfiles, toxicity
+from venueflow.llm import (
+    alignment, licenses, linededup, mixing, neighbours, packing, periods, pii, quality, sentencepieces, simhash, tokenfiles, toxicity,
+)
 from venueflow.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 from venueflow.session import materialize, new_shared_path
 
@@ -67,3 +69,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.with_positions(mixing.mix(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_position").orderBy("first_position", "doc_id")
+
+
+@query("op11_line_dedup", linededup.sql())
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, a tenth of which are made to repeat a phrase of their own first."""
+    return periods.report(periods.periodic_runs(periods.with_loops(table(spark, sf_dir, "documents"))))
