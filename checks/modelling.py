@@ -6,6 +6,7 @@ from checks.features import _DOW, _PAIRED, _PROFILE, TOKEN_SQL
 from checks.registry import query
 from venueflow.functions.columns import make_id
 from venueflow.operators import evaluate, models, select
+from venueflow.operators.factors import AlternatingFactors
 from venueflow.operators.split import chronological_holdout
 from venueflow.plans import ensemble
 from venueflow.plans.features import feature_frames, model_columns
@@ -87,6 +88,7 @@ def predictions(t, estimator):
 
 
 SMALL = dict(rounds=10, depth=4)  # smaller than the defaults, to keep the check short
+FACTORS = dict(sweeps=2)
 
 
 @query("ml1_boosted_trees")
@@ -246,11 +248,25 @@ def _(t):
     return out.withColumn("visitors", F.round("visitors", 5))
 
 
-@query("ml8_factor_model_range", "SELECT count(*) AS n_rows, true AS in_range FROM visits")
+_EFFECTS = f"""
+  SELECT store_id, visit_date, dow, m + coalesce(s.b, 0) AS p, y - m - s.b AS rest
+  FROM r CROSS JOIN (SELECT avg(y) AS m FROM r)
+  JOIN (SELECT store_id, sum(y - m) / (count(*) + 2.0e0) AS b FROM r CROSS JOIN (SELECT avg(y) AS m FROM r) GROUP BY store_id) s
+  USING (store_id)"""
+
+
+@query(
+    "ml8_additive_sweep",
+    f"""WITH r AS (SELECT store_id, visit_date, ln(1 + visitors) AS y, isodow(visit_date) - 1 AS dow FROM visits),
+        e AS ({_EFFECTS})
+        SELECT store_id, visit_date, round(least(greatest(p + b, 0), 6.8e0), 6) AS log_prediction
+        FROM e JOIN (SELECT dow, sum(rest) / (count(*) + 2.0e0) AS b FROM e GROUP BY dow) USING (dow)""",
+)
 def _(t):
-    rows = materialize(one_feature(t).withColumn("dow", F.weekday("visit_date")), "one-feature")
-    out = models.FactorModel(["x"], ["dow"]).fit(rows).predict_log(rows, "p")
-    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.every(F.col("p").between(0, models.LOG_CEILING)).alias("in_range"))
+    """One sweep without factors: the mean, then a ridge mean of what is left per store, then per weekday."""
+    rows = materialize(t.visits().withColumn("dow", F.weekday("visit_date")), "dow-visits")
+    model = AlternatingFactors([], ["store_id", "dow"], factors=0, sweeps=1, ridge=2.0).fit(rows)
+    return model.predict_log(rows, "p").select("store_id", "visit_date", F.round("p", 6).alias("log_prediction"))
 
 
 @query(
@@ -271,7 +287,7 @@ def _(t):
 @query("ml8_factor_model")
 def _(t):
     train, test = train_frame(t)
-    member = ensemble.factor("log_prediction", 1.0, CATEGORIES)
+    member = ensemble.factor("log_prediction", 1.0, CATEGORIES, **FACTORS)
     out = member.fit(train, model_columns(train))(test, "log_prediction")
     return out.select("id", models.invert_log("log_prediction").alias("visitors"))
 
@@ -304,7 +320,7 @@ def members():
     return [
         ensemble.spark_ml("trees", 0.2, models.boosted_trees(**SMALL)),
         ensemble.spark_ml("sampled_trees", 0.4, models.boosted_trees_with_column_sampling(**SMALL)),
-        ensemble.factor("factors", 0.4, CATEGORIES),
+        ensemble.factor("factors", 0.4, CATEGORIES, **FACTORS),
     ]
 
 

@@ -214,6 +214,10 @@ CTES: dict[str, str] = {
 }
 
 
+# Read more than once by the queries that join forecasts; worked out once, instead of once per use.
+MATERIALIZED = ("visits", "dated_visits", "baseline", "month_baseline", "dated_targets", "forecast", "month_forecast")
+
+
 def with_ctes(sql: str) -> str:
     """Prefix ``sql`` with the named fragments it reads, in dependency order."""
     ordered: list[str] = []
@@ -228,7 +232,7 @@ def with_ctes(sql: str) -> str:
     visit(sql)
     if not ordered:
         return sql
-    parts = ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered)
+    parts = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in MATERIALIZED else ''}({CTES[n]})" for n in ordered)
     head, body = ("WITH ", sql) if not sql.lstrip().upper().startswith("WITH") else (
         "WITH ", sql.lstrip()[4:].lstrip())
     joiner = "\n" if head == "WITH " and body is sql else ",\n"

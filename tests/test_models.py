@@ -45,17 +45,6 @@ def test_lasso_matches_the_closed_form(spark):
     assert model.coefficients[0] == pytest.approx(slope, abs=1e-6)
 
 
-@pytest.mark.parametrize("hash_dims", [None, 64])
-def test_factor_model_learns_categories_and_clips(rows, hash_dims):
-    model = models.FactorModel(["x"], ["c"], factors=2, rounds=60, step=0.1, hash_dims=hash_dims).fit(rows)
-    out = model.predict_log(rows, "p").select("p", F.log1p("visitors").alias("t"))
-    assert out.agg(F.sqrt(F.avg(F.pow(F.col("p") - F.col("t"), F.lit(2))))).first()[0] < spread(rows)
-    r = out.agg(F.min("p"), F.max("p")).first()
-    assert r[0] >= 0 and r[1] <= 6.8
-    unseen = rows.limit(1).withColumns({"c": F.lit(-1)})
-    assert model.predict_log(unseen, "p").first()["p"] is not None
-
-
 def test_importances(rows):
     model = models.fit_log_target(models.boosted_trees(rounds=5, depth=3), rows, ["c", "x"]).stages[-1]
     shares = select.split_importance(model, ["c", "x"]).collect()

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, VectorAssembler
-from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venueflow.functions.columns import clip
-from venueflow.operators.encode import column_bounds, scale_by
 from venueflow.session import shared_folder
 
 LOG_TARGET = "log_target"
@@ -24,6 +23,11 @@ def boosted_trees(rounds: int = 200, depth: int = 10, rate: float = 0.2, rows: f
                         subsamplingRate=rows, seed=seed, checkpointInterval=10, **params)
 
 
+def boosted_trees_until(validation: str, tolerance: float = 0.01, **params) -> GBTRegressor:
+    """Boosting that stops once the rows flagged in ``validation`` gain less than ``tolerance`` (of their error, relative)."""
+    return boosted_trees(validationIndicatorCol=validation, validationTol=tolerance, **params)
+
+
 def boosted_trees_with_column_sampling(columns: float = 0.8, **params) -> GBTRegressor:
     """Boosting that also samples features (per node) at every split."""
     return boosted_trees(featureSubsetStrategy=str(columns), **params)
@@ -42,6 +46,10 @@ def lasso(alpha: float = 0.1) -> LinearRegression:
     return LinearRegression(labelCol=LOG_TARGET, regParam=alpha, elasticNetParam=1.0, standardization=False)
 
 
+def log_target(df: DataFrame, target: str = "visitors") -> DataFrame:
+    return df.withColumn(LOG_TARGET, F.log1p(F.col(target)))
+
+
 def fit_log_target(
     estimator: Estimator, train: DataFrame, columns: Sequence[str], target: str = "visitors"
 ) -> PipelineModel:
@@ -50,7 +58,7 @@ def fit_log_target(
     Boosting cuts its growing lineage by checkpoints, so the shared folder is set before fitting.
     """
     shared_folder(train.sparkSession)
-    rows = train.withColumn(LOG_TARGET, F.log1p(F.col(target)))
+    rows = log_target(train, target)
     return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features"), estimator]).fit(rows)
 
 
@@ -60,59 +68,15 @@ def predict_log(model: PipelineModel, df: DataFrame, name: str, lower=None, uppe
     return out.drop(*[c for c in out.columns if c not in df.columns and c != name])
 
 
+def scores_by_round(model: PipelineModel, df: DataFrame, target: str = "visitors") -> DataFrame:
+    """(round, rmsle) of a fitted boosting pipeline on ``df``: its error with the first 1, 2, .. trees, from one pass."""
+    rows = log_target(df, target)
+    for stage in model.stages[:-1]:
+        rows = stage.transform(rows)
+    errors = model.stages[-1].evaluateEachIteration(rows, "squared")
+    return df.sparkSession.createDataFrame([(i, float(e) ** 0.5) for i, e in enumerate(errors, start=1)], "round int, rmsle double")
+
+
 def invert_log(column: str):
     """Back to the target's scale, never below 0."""
     return clip(F.expm1(F.col(column)), lower=0)
-
-
-class FactorModel:
-    """Regression with a learned vector per category plus scaled numeric inputs.
-
-    Categories are integer codes; numerics are min-max scaled by the training frame, and the log
-    prediction is clipped to [0, 6.8]. Spark's gradient of this model is as long as all inputs
-    times the factors, for every row. Every category has an input of its own; ``hash_dims`` hashes
-    all of them into that many inputs instead, at the price of categories that share one.
-    """
-
-    def __init__(
-        self, numeric: Sequence[str], categorical: Sequence[str], factors: int = 8, rounds: int = 100,
-        step: float = 0.1, seed: int = 10, hash_dims: int | None = None,
-    ):
-        self.numeric = list(numeric)
-        self.categorical = list(categorical)
-        self.hash_dims = hash_dims
-        self.settings = dict(factorSize=factors, maxIter=rounds, stepSize=step, seed=seed)
-
-    def _category_stage(self) -> tuple[list, list[str]]:
-        codes = [f"_c_{c}" for c in self.categorical]
-        if self.hash_dims is not None:
-            hasher = FeatureHasher(
-                inputCols=codes, categoricalCols=codes, numFeatures=self.hash_dims, outputCol="_hashed"
-            )
-            return [hasher], ["_hashed"]
-        hot = [f"_hot_{c}" for c in self.categorical]
-        return [OneHotEncoder(inputCols=codes, outputCols=hot, handleInvalid="keep", dropLast=False)], hot
-
-    def _inputs(self, df: DataFrame) -> DataFrame:
-        # Scaled copies and codes moved up by one, so that a -1 sentinel is a category of its own.
-        scaled = scale_by(self.bounds, df.withColumns({f"_n_{c}": F.col(c) for c in self.numeric}))
-        return scaled.withColumns({f"_c_{c}": F.col(c) + 1 for c in self.categorical})
-
-    def _numeric(self) -> list[str]:
-        return [f"_n_{c}" for c in self.numeric]
-
-    def fit(self, train: DataFrame, target: str = "visitors") -> "FactorModel":
-        raw = train.select([F.col(c).alias(f"_n_{c}") for c in self.numeric])
-        self.bounds = column_bounds(raw, self._numeric())
-        encoders, encoded = self._category_stage()
-        stages = [
-            *encoders,
-            VectorAssembler(inputCols=[*self._numeric(), *encoded], outputCol="features"),
-            FMRegressor(labelCol=LOG_TARGET, **self.settings),
-        ]
-        self.model = Pipeline(stages=stages).fit(self._inputs(train).withColumn(LOG_TARGET, F.log1p(F.col(target))))
-        return self
-
-    def predict_log(self, df: DataFrame, name: str) -> DataFrame:
-        out = predict_log(self.model, self._inputs(df), name, 0, LOG_CEILING)
-        return out.select(*df.columns, name)

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
@@ -27,12 +34,20 @@ def new_shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a value must not change between two reads (row positions), or where several
-    later steps reuse a reduced table. The files outlive any executor.
+    later steps reuse a reduced table. The files outlive any executor. ``by`` writes a folder per
+    value of a few-valued column, so that reads of some of its values skip the rest.
     """
     path = new_shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_parallel(spark: SparkSession, jobs: Iterable[Callable[[], T]], at_once: int) -> list[T]:
+    """Results of small driver functions that each run Spark jobs, ``at_once`` of them side by side."""
+    jobs = [inheritable_thread_target(spark)(job) for job in jobs]
+    with ThreadPool(max(1, min(at_once, len(jobs)))) as pool:
+        return pool.map(lambda job: job(), jobs)
