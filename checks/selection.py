@@ -7,7 +7,7 @@ from checks.registry import query
 from venueflow.functions.columns import make_id
 from venueflow.operators import blend, evaluate, knn, select, split
 from venueflow.operators.baseline import enrich_with_calendar, lookup_baseline, mean_of_means
-from venueflow.plans.forecast import add_baseline_feature, baseline_forecast, fit_baseline, weighted_calendar
+from venueflow.plans.forecast import add_baseline_feature, add_prior_baseline, baseline_forecast, fit_baseline, weighted_calendar
 from venueflow.plans.tuning import refit_best_neighbours
 
 # ---- neighbours on the vector table ----
@@ -409,3 +409,21 @@ def _(t):
     return rows.select(
         make_id("store_id", "visit_date").alias("id"), "visitors", F.round("baseline_feature", 6).alias("baseline_feature")
     )
+
+
+@query(
+    "e9_prior_baseline_as_feature",
+    """WITH d AS MATERIALIZED (SELECT store_id, visit_date, visitors, day_of_week, holiday_flg, weight FROM dated_visits),
+       p AS MATERIALIZED (SELECT a.store_id, a.visit_date, b.day_of_week, b.holiday_flg, sum(b.weight * ln(1 + b.visitors)) / sum(b.weight) AS wmean
+         FROM d a JOIN d b ON a.store_id = b.store_id AND b.visit_date < a.visit_date GROUP BY ALL),
+       o AS (SELECT store_id, visit_date, avg(wmean) AS wmean FROM p GROUP BY ALL)
+       SELECT d.store_id, d.visit_date, round(exp(coalesce(p1.wmean, p2.wmean, o.wmean)) - 1, 5) AS prior_baseline,
+              CASE WHEN p1.wmean IS NOT NULL THEN 1 WHEN p2.wmean IS NOT NULL THEN 2 WHEN o.wmean IS NOT NULL THEN 3 ELSE 0 END AS level
+       FROM d LEFT JOIN p p1 ON p1.store_id = d.store_id AND p1.visit_date = d.visit_date AND p1.day_of_week = d.day_of_week
+                            AND p1.holiday_flg = d.holiday_flg
+       LEFT JOIN p p2 ON p2.store_id = d.store_id AND p2.visit_date = d.visit_date AND p2.day_of_week = d.day_of_week AND p2.holiday_flg = 0
+       LEFT JOIN o ON o.store_id = d.store_id AND o.visit_date = d.visit_date""",
+)
+def _(t):
+    rows = add_prior_baseline(t.visits(), t.visits(), t.calendar(), level_name="level")
+    return rows.select("store_id", "visit_date", F.round("prior_baseline", 5).alias("prior_baseline"), F.coalesce("level", F.lit(0)).alias("level"))

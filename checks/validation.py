@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.modelling import _ONE, one_feature
 from checks.registry import query
-from venueflow.operators import models
+from venueflow.operators import blend, models
 from venueflow.operators.boosting import ColumnSampledBoosting, drawn_columns
 from venueflow.operators.split import chronological_holdout
 from venueflow.plans import validation
@@ -103,3 +103,70 @@ def _(t):
     rows, _ = two_rounds(t)
     model = ColumnSampledBoosting(rounds=6, depth=1, rate=0.9, rows=1.0, columns=1.0, validation="is_validation", patience=2).fit(rows, ["weekend"])
     return t.spark.createDataFrame([(len(model.trees), len(model.errors) - 1)], "rounds_kept long, rounds_run long")
+
+
+@query(
+    "e8_backward_elimination",
+    f"""WITH d AS MATERIALIZED ({_FLAGGED}),
+        g AS (SELECT feature, sum(n * m * m) AS gain FROM (
+              SELECT 'weekend' AS feature, count(*) AS n, avg(y) - (SELECT avg(y) FROM d WHERE NOT held) AS m FROM d WHERE NOT held GROUP BY weekend
+              UNION ALL SELECT 'late', count(*), avg(y) - (SELECT avg(y) FROM d WHERE NOT held) FROM d WHERE NOT held GROUP BY late) GROUP BY feature),
+        b AS (SELECT arg_max(feature, gain) AS used, arg_min(feature, gain) AS unused FROM g),
+        x AS (SELECT held, y, CASE WHEN used = 'weekend' THEN weekend ELSE late END AS x FROM d, b),
+        e AS (SELECT round(sqrt(avg(pow(y - p, 2))), 6) AS rmsle
+              FROM x JOIN (SELECT x, avg(y) AS p FROM x WHERE NOT held GROUP BY x) USING (x) WHERE held)
+        SELECT 0 AS step, 2 AS n_columns, '' AS dropped, rmsle FROM e UNION ALL SELECT 1, 1, unused, rmsle FROM e, b""",
+)
+def _(t):
+    """One tree with one split uses the better of two columns; the other goes, and the refit scores the same."""
+    rows, _ = two_rounds(t)
+    stump = models.boosted_trees(rounds=1, depth=1, rows=1.0)
+    out = validation.backward_elimination(rows.filter("not is_validation"), rows.filter("is_validation"), _FLAGS, stump, [1])
+    return out.select("step", "n_columns", F.array_join("dropped", ",").alias("dropped"), F.round("rmsle", 6).alias("rmsle"))
+
+
+@query("v8_successive_halving")
+def _(t):
+    """Eight drawn penalties, halved three times on growing shares of the visits."""
+    rows = materialize(one_feature(t).withColumns({"dow": F.weekday("visit_date").cast("double"), "day": F.dayofmonth("visit_date").cast("double")}), "halving")
+    draws = validation.drawn_sets({"regParam": [0.0, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]}, 8, seed=1)
+    place = F.pmod(F.xxhash64("store_id", "visit_date"), F.lit(1 << 20)) / float(1 << 20)
+    return validation.successive_halving(rows, place, ["x", "dow", "day"], models.linear(), draws)
+
+
+_MEMBERS = ("by_store", "by_weekday", "overall")
+_MEMBER_SQL = """SELECT ln(1 + visitors) AS y, avg(ln(1 + visitors)) OVER (PARTITION BY store_id) AS by_store,
+  avg(ln(1 + visitors)) OVER (PARTITION BY isodow(visit_date)) AS by_weekday, avg(ln(1 + visitors)) OVER () AS overall FROM visits"""
+
+
+def members_of(t):
+    rows = t.visits().withColumns({"y": F.log1p("visitors"), "dow": F.weekday("visit_date")})
+    rows = materialize(rows, "member-rows")
+    by = lambda c, name: rows.groupBy(c).agg(F.avg("y").alias(name))
+    overall = rows.agg(F.avg("y")).first()[0]
+    return rows.join(by("store_id", "by_store"), "store_id").join(by("dow", "by_weekday"), "dow").withColumn("overall", F.lit(overall))
+
+
+@query(
+    "b1_weight_grid",
+    f"""SELECT concat(i, '/', j) AS blend, count(*) AS n_rows,
+               round(sqrt(avg(pow(y - (i * by_store + j * by_weekday + (4 - i - j) * overall) / 4.0e0, 2))), 6) AS rmse
+        FROM ({_MEMBER_SQL}), generate_series(0, 4) AS a(i), generate_series(0, 4) AS b(j) WHERE i + j <= 4 GROUP BY i, j""",
+)
+def _(t):
+    """Fifteen blends of three members from one aggregation, against one pass each in SQL."""
+    blends = {f"{i}/{j}": [i / 4, j / 4, (4 - i - j) / 4] for i in range(5) for j in range(5 - i)}
+    out = blend.weight_report(members_of(t), "y", _MEMBERS, blends)
+    return out.filter(F.col("blend").contains("/")).select("blend", "n_rows", F.round("rmse", 6).alias("rmse"))
+
+
+@query(
+    "b1_best_weights",
+    f"""SELECT count(*) AS n_rows, true AS beats_the_grid FROM ({_MEMBER_SQL})""",
+)
+def _(t):
+    """No blend on a grid of tenths is better than the weights found."""
+    gram, n = blend.error_gram(members_of(t), "y", _MEMBERS)
+    best = blend.blend_rmse(gram, blend.best_convex_weights(gram))
+    grid = [blend.blend_rmse(gram, [i / 10, j / 10, (10 - i - j) / 10]) for i in range(11) for j in range(11 - i)]
+    return t.spark.createDataFrame([(n, bool(best <= min(grid) + 1e-12))], "n_rows long, beats_the_grid boolean")
