@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from venueflow.llm import simhash
 from venueflow.llm.components import components
@@ -87,6 +88,28 @@ def test_links_connect_the_same_fingerprints_however_buckets_are_cut(spark, monk
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, groups.values()))
 
 
+@pytest.mark.parametrize("most", [4, 64])
+def test_no_gathered_bucket_is_larger_than_allowed(spark, most):
+    """A third share one half, another third the same half but for a bit: they go to the next cut ungathered."""
+    rng = random.Random(9)
+    half = rng.getrandbits(32)
+    fps = {half << 32 | rng.getrandbits(32) for _ in range(300)} | {(half ^ 4) << 32 | rng.getrandbits(32) for _ in range(300)}
+    fps = [int(np.uint64(f).astype(np.int64)) for f in fps | {rng.getrandbits(64) for _ in range(300)}]
+    rows = spark.createDataFrame([(0, f, 0) for f in fps], "key long, fp long, off int")
+    variants = simhash._variants(rows, 64, simhash._crowded(rows, 64, most)).cache()
+    gathered = variants.filter("not send").groupBy("key").count().agg({"count": "max"}).first()[0]
+    assert gathered <= most and variants.filter("send").count() >= 600
+    assert simhash._variants(rows, 64).groupBy("key").count().agg({"count": "max"}).first()[0] >= 600
+
+
+def test_a_half_shared_by_a_hundred_thousand(spark):
+    near = [(1 << 40) + 5, (1 << 40) + 4, (1 << 40) + 6]
+    rows = spark.range(100_000).select(((F.xxhash64("id").bitwiseAND(F.lit((1 << 32) - 1))) + F.lit(7 << 33)).alias("fp"))
+    extra = spark.createDataFrame([(f,) for f in near], "fp long")
+    got = {r["node"]: r["root"] for r in simhash.group_fingerprints(rows.union(extra).distinct()).collect()}
+    assert {got[f] for f in near} == {near[1]}
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(100)] + [(1000, i) for i in range(1001, 1200)] + [(5, 5), (3, 2)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -4,10 +4,11 @@ A text's fingerprint has 64 bits, each set if it is set in over half of the hash
 shingles. Two fingerprints at distance 3 or less differ in at most one bit in one of their two
 halves. So every distinct fingerprint is indexed under its one-wildcard variants (each half with
 each of its 32 bits blanked), rows sharing a variant meet by equality, and the full distance is
-verified. A bucket with more than ``BUCKET_ROWS`` fingerprints is cut again by the variants of the
-other half (two 16-bit parts), then by those of the last 16 bits (two 8-bit parts). What shares all
-three variants differs in at most 11 bits, so no bucket exceeds 2,048 rows in the end and none is
-dropped. A bucket yields links of a spanning forest, not its pairs.
+verified. Halves are counted first, by partial aggregation, so that a bucket that may hold more than
+``BUCKET_ROWS`` fingerprints is known before anything is gathered: its members go straight to the
+next cut, by the variants of the other half (two 16-bit parts), then by those of the last 16 bits
+(two 8-bit parts). What shares all three variants differs in at most 11 bits, so no bucket exceeds
+2,048 rows in the end and none is dropped. A bucket yields links of a spanning forest, not its pairs.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SEED = 42
 MAX_BITS = 3
 BUCKET_ROWS = 4096  # larger buckets are cut once more; after the third cut 2,048 is the most possible
+FOREST_ROWS = 1 << 20  # links a task remembers
 SHINGLE_BLOCK = 1 << 16  # shingles whose bits are counted at a time
 
 
@@ -74,24 +76,56 @@ def fingerprints(docs: DataFrame, text: str, keep: list[Column]) -> DataFrame:
     return rows.mapInArrow(run, f"keep {kind}, fp long").select("keep.*", "fp")
 
 
-def _variants(rows: DataFrame, width: int) -> DataFrame:
+def _crowded(rows: DataFrame, width: int, most: int) -> DataFrame:
+    """(key, part, value, full, send) of the halves that meet in buckets of possibly more than ``most`` rows.
+
+    A bucket is a half's value and the one that differs in the blanked bit, so it can only be that
+    large if one of the two is held by more than ``most / 2`` rows (``full``). ``send`` has the bits
+    under which a half goes to the next cut: those with a neighbour where one of the two is full, and
+    for a full half the first, where its own members meet.
+    """
+    half = width // 2
+    low = F.lit((1 << half) - 1).cast("long")
+    parts = rows.select("key", "fp", "off", F.explode(F.array(F.lit(0), F.lit(1))).alias("part"))
+    parts = parts.select("key", "part", F.col("off").alias("o"), "fp").withColumn("shift", (F.col("o") + F.col("part") * half).cast("int"))
+    value = F.expr("shiftrightunsigned(fp, shift)").bitwiseAND(low)
+    counts = materialize(parts.select("key", "part", value.alias("value")).groupBy("key", "part", "value").agg(F.count("*").alias("n")), "simhash-halves")
+    full = counts.filter(F.col("n") > most // 2).select("key", "part", "value")
+    by_bit = full.select("*", F.explode(F.sequence(F.lit(0), F.lit(half - 1))).alias("bit"))
+    by_bit = by_bit.withColumn("mask", F.expr("shiftleft(1L, bit)")).withColumn("near", F.col("value").bitwiseXOR(F.col("mask")))
+    there = counts.select("key", "part", F.col("value").alias("near"))
+    mixed = by_bit.join(there, ["key", "part", "near"])
+    own = full.select("key", "part", "value", F.lit(True).alias("full"), F.lit(1).cast("long").alias("send"))
+    out = own.union(mixed.select("key", "part", "value", F.lit(True), "mask")).union(mixed.select("key", "part", "near", F.lit(False), "mask"))
+    return out.groupBy("key", "part", "value").agg(F.max("full").alias("full"), F.bit_or("send").alias("send"))
+
+
+def _variants(rows: DataFrame, width: int, crowded: DataFrame | None = None) -> DataFrame:
     """One row for each one-wildcard variant of either half of the ``width`` bits still in play.
 
     ``rows`` has (key, fp, off): the bits in play are [off, off + width). The variant's key covers
     the earlier key, the wildcard's place and the half without that bit; the other half stays in play.
+    ``send`` says that the variant's bucket is crowded: it is cut again instead of gathered.
     """
     half = width // 2
-    bit = F.explode(F.sequence(F.lit(0), F.lit(width - 1)))
-    df = rows.select("key", "fp", "off", bit.alias("bit"))
-    start = df["off"] + F.floor(df["bit"] / half).cast("int") * half
-    field = F.expr("shiftrightunsigned(fp, start)").bitwiseAND(F.lit((1 << half) - 1))
-    df = df.select("key", "fp", "off", "bit", start.alias("start"), (df["bit"] % half).alias("place"))
-    df = df.select("key", "fp", "off", "bit", "start", "place", field.alias("field"))
-    rest = F.expr("field & ~shiftleft(1L, place)")
-    other = (2 * df["off"] + half - df["start"]).cast("int")
+    part = F.explode(F.array(F.lit(0), F.lit(1)))
+    df = rows.select("key", "fp", F.col("off").cast("int").alias("off"), part.alias("part"))
+    df = df.withColumn("start", (F.col("off") + F.col("part") * half).cast("int"))
+    df = df.withColumn("value", F.expr("shiftrightunsigned(fp, start)").bitwiseAND(F.lit((1 << half) - 1).cast("long")))
+    if crowded is not None:
+        df = df.join(crowded, ["key", "part", "value"], "left")
+    else:
+        df = df.withColumns({"full": F.lit(False), "send": F.lit(0).cast("long")})
+    df = df.withColumns({"full": F.coalesce("full", F.lit(False)), "sent": F.coalesce("send", F.lit(0).cast("long"))})
+    df = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(half - 1))).alias("place"))
+    one = F.expr("shiftright(value, place) & 1L") == 1
+    send = F.expr("shiftright(sent, place) & 1L") == 1
+    rest = F.expr("value & ~shiftleft(1L, place)")
+    other = (2 * F.col("off") + half - F.col("start")).cast("int")
+    df = df.filter(~F.col("full") | send)  # a full half's own members meet once, under the first bit
     return df.select(
-        F.xxhash64("key", F.lit(width), "bit", rest).alias("key"), "fp", other.alias("off"),
-        (F.col("place") == 0).alias("first"), (F.expr("shiftright(field, place) & 1L") == 1).alias("one"),
+        F.xxhash64("key", F.lit(width), "part", "place", rest).alias("key"), "fp", other.alias("off"),
+        (F.col("place") == 0).alias("first"), one.alias("one"), send.alias("send"),
     )
 
 
@@ -130,14 +164,16 @@ def _near(fps: np.ndarray) -> Iterator[tuple[int, int]]:
             left = left[~close]
 
 
-def _bucket_links(rows: DataFrame, most: int) -> DataFrame:
-    """(a, b, key, off): links have a null key; a member of a bucket of more than ``most`` comes back with its key."""
+def _bucket_links(rows: DataFrame) -> DataFrame:
+    """(a, b): links of the fingerprints that share a bucket ``key``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, tail = _Forest(), None
 
-        def solve(key, fp, off, first, one):
-            a, b, back_key, back_fp, back_off = [], [], [], [], []
+        def solve(key, fp, first, one):
+            if len(forest.up) > FOREST_ROWS:
+                forest.up.clear()  # links may then be told again, which does no harm
+            a, b = [], []
             edge = np.flatnonzero(key[1:] != key[:-1]) + 1
             starts = np.concatenate(([0], edge))
             sizes = np.diff(np.concatenate((starts, [len(key)])))
@@ -146,22 +182,16 @@ def _bucket_links(rows: DataFrame, most: int) -> DataFrame:
             ones = np.add.reduceat(one.astype(np.int64), starts)
             many &= first[starts] | ((ones > 0) & (ones < sizes))
             for s, n in zip(starts[many].tolist(), sizes[many].tolist()):
-                if n > most:
-                    back_key.append(key[s : s + n]), back_fp.append(fp[s : s + n]), back_off.append(off[s : s + n])
-                    continue
                 group = fp[s : s + n]
                 for i, j in _near(group.view(np.uint64)):
                     x, y = int(group[i]), int(group[j])
                     if forest.join(x, y):
                         a.append(x), b.append(y)
             if a:
-                yield _links(pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32()))
-            if back_key:
-                k, f, o = map(np.concatenate, (back_key, back_fp, back_off))
-                yield _links(pa.array(f), pa.nulls(len(f), pa.int64()), pa.array(k), pa.array(o))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp", "off", "first", "one")]
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp", "first", "one")]
             if tail is not None:
                 now = [np.concatenate(x) for x in zip(tail, now)]
             last = int(np.searchsorted(now[0], now[0][-1], side="left")) if len(now[0]) else 0
@@ -171,11 +201,8 @@ def _bucket_links(rows: DataFrame, most: int) -> DataFrame:
         if tail is not None and len(tail[0]):
             yield from solve(*tail)
 
-    def _links(*columns):
-        return pa.RecordBatch.from_arrays(list(columns), names=["a", "b", "key", "off"])
-
-    dealt = rows.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "a long, b long, key long, off int")
+    dealt = rows.select("key", "fp", "first", "one").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def near_links(distinct: DataFrame) -> DataFrame:
@@ -183,13 +210,13 @@ def near_links(distinct: DataFrame) -> DataFrame:
     found, width = [], 64
     rows = distinct.select(F.lit(0).cast("long").alias("key"), "fp", F.lit(0).alias("off"))
     while True:
-        # After the last cut a bucket is bounded by its 11 free bits and is solved whatever its size.
-        most = BUCKET_ROWS if width > 16 else sys.maxsize
-        out = materialize(_bucket_links(_variants(rows, width), most), f"simhash-links-{width}")
-        found.append(out.filter("key IS NULL").select("a", "b"))
-        rows, width = out.filter("key IS NOT NULL").select("key", F.col("a").alias("fp"), "off"), width // 2
-        if width < 16 or rows.isEmpty():
+        # After the last cut a bucket is bounded by its 11 free bits and is gathered whatever its size.
+        crowded = materialize(_crowded(rows, width, BUCKET_ROWS), f"simhash-crowded-{width}") if width > 16 else None
+        variants = _variants(rows, width, crowded)
+        found.append(materialize(_bucket_links(variants.filter(~F.col("send"))), f"simhash-links-{width}"))
+        if crowded is None or crowded.isEmpty():
             break
+        rows, width = materialize(variants.filter("send").select("key", "fp", "off"), f"simhash-cut-{width}"), width // 2
     links = found[0]
     for more in found[1:]:
         links = links.union(more)
