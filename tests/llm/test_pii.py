@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from venueflow.llm import pii
 from llm_fixtures import docs, empty  # noqa: F401
@@ -59,5 +60,64 @@ def test_added_spans_and_masks(docs):
     assert masked[60][0] == "call [PHONE] [IP] now" and masked[62] == (None, None) and masked[64][0] == "plain words"
 
 
+def test_written_out_addresses_are_taken_whole():
+    long = "x" * 80 + " (at) " + "y" * 90 + " (dot) " + "z" * 70
+    for text in (long, f"write to {long} soon"):
+        start = text.index("x" * 80)
+        assert [(s, k, e) for s, k, e, base, *_ in pii.candidates(text) if not base] == [(start, 0, start + len(long))]
+
+
+def test_added_spans_never_reach_into_base_spans():
+    text = "1.1.1.1+2.2.2.2+3.3.3.3+4.4.4.4+5.5.5.5+4111111111111111@example.com"
+    got = pii.candidates(text)
+    assert (0, 0, len(text), True) in [c[:4] for c in got] and all(c[3] for c in got)
+    rng = random.Random(8)
+    parts = ["4111111111111111", "10.0.0.1", "a@b.co", " (at) ", "x", ".", "@", "-", " ", "+1 555-555-0101", "(555) 555-0101", "c.de"]
+    for _ in range(2000):
+        found = pii.candidates("".join(rng.choice(parts) for _ in range(rng.randint(1, 14))))
+        base = [c for c in found if c[3]]
+        assert not [(b, c) for b in base for c in found if not c[3] and c[0] < b[2] and b[0] < c[2]]
+
+
+def plain_hidden(text):
+    """Written-out addresses by trying every start and the longest domain."""
+    out = []
+    for m in re.finditer(r"[(\[{] ?[aA][tT] ?[)\]}]", text):
+        at = m.start() - (m.start() > 0 and text[m.start() - 1] == " ")
+        local = re.search(r"[A-Za-z0-9._%+-]*$", text[:at]).group()
+        tail = re.match(r" ?[A-Za-z0-9-]+(?: ?[(\[{] ?[dD][oO][tT] ?[)\]}] ?[A-Za-z0-9-]+|\.[A-Za-z0-9-]+)+", text[m.end() :])
+        if local and tail:
+            out.append((at - len(local), m.end() + tail.end()))
+    return out
+
+
+def test_written_out_addresses_of_random_texts():
+    rng = random.Random(3)
+    parts = ["ab", "q.r", " ", "(at)", " (at) ", "[ at ]", "(dot)", " (dot) ", ".", "com", "-", "é", "x" * 70]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 12)))
+        want, free = [], 0
+        for s, e in plain_hidden(text):
+            if s >= free:
+                want.append((s, e))
+                free = e
+        assert [(s, e) for s, k, e, base, *_ in pii.candidates(text) if not base] == want, text
+
+
+def test_nothing_of_a_span_is_left_in_a_masked_text(docs):
+    names = ["n" * 70 + str(i) for i in range(40)]
+    rows = docs([f"mail {n} (at) {'d' * 66}{i} (dot) com please" for i, n in enumerate(names)] + ["plain", None, ""])
+    model_spans = {r["doc_id"]: r["spans"] for r in pii.find_pii(rows).collect()}
+    for r in pii.mask_pii(rows.withColumnRenamed("lang", "row").withColumnRenamed("source", "found")).collect():
+        if r["doc_id"] < 40:
+            assert ("nnn" in r["text"]) == (model_spans[r["doc_id"]] == "") and r["n_chars"] == len(r["text"])
+            assert model_spans[r["doc_id"]] in ("", f"email:5:{len(f'mail {names[r.doc_id]} (at) ' + 'd' * 66 + str(r.doc_id) + ' (dot) com')}")
+
+
+def test_map_columns_pass_through_masking(docs):
+    rows = docs(["a@b.co", None]).withColumn("m", F.create_map(F.lit("k"), F.lit("v")))
+    assert [(r["text"], r["m"]) for r in pii.mask_pii(rows).orderBy("doc_id").collect()] == [("[EMAIL]", {"k": "v"}), (None, {"k": "v"})]
+
+
 def test_empty_table(empty):
     assert pii.find_pii(empty).count() == 0 and pii.mask_pii(empty).columns == empty.columns

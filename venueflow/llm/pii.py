@@ -14,7 +14,9 @@ candidate the classifier accepts nothing; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 import sys
 from collections.abc import Iterator
@@ -49,7 +51,7 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 # Wider patterns, for candidates the base ones leave out.
 HIDDEN_AT = re.compile(r"[(\[{] ?[aA][tT] ?[)\]}]")
-HIDDEN_DOMAIN = re.compile(r" ?[A-Za-z0-9-]{1,63}(?: ?[(\[{] ?[dD][oO][tT] ?[)\]}] ?[A-Za-z0-9-]{1,63}|\.[A-Za-z0-9-]{1,63})+")
+HIDDEN_DOMAIN = re.compile(r" ?[A-Za-z0-9-]++(?: ?[(\[{] ?[dD][oO][tT] ?[)\]}] ?[A-Za-z0-9-]++|\.[A-Za-z0-9-]++)++")
 IP6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
 SOLID_CARD = re.compile(r"(?<![0-9])(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4})(?![0-9])")
 NATIONAL = re.compile(r"(?<![0-9+A-Za-z(])(?:\+[0-9]{1,3}[-. ]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-.][0-9]{4}(?![0-9A-Za-z])")
@@ -115,7 +117,7 @@ def wider_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     for m in HIDDEN_AT.finditer(text):
         start = m.start() - (m.start() > 0 and text[m.start() - 1] == " ")
         at = start
-        while start > max(0, at - 64) and text[start - 1] in LOCAL:
+        while start > 0 and text[start - 1] in LOCAL:
             start -= 1
         tail = HIDDEN_DOMAIN.match(text, m.end())
         if start < at and tail:
@@ -124,12 +126,12 @@ def wider_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     found += [(m.start(), 1, m.end()) for m in IP.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in SOLID_CARD.finditer(text)]  # also where a neighbouring number hid it
     found += [(m.start(), 3, m.end()) for m in NATIONAL.finditer(text)]
-    taken = sorted((s, e) for s, _, e in base)
-    starts = [s for s, _ in taken]
+    starts = [s for s, _, _ in base]  # in order
+    reach = list(itertools.accumulate((e for _, _, e in base), max))
     out, free = [], 0
     for s, k, e in sorted(set(found)):
-        i = int(np.searchsorted(starts, e, side="left")) if starts else 0
-        if s >= free and (i == 0 or max(x[1] for x in taken[max(0, i - 4) : i]) <= s):
+        i = bisect.bisect_left(starts, e)
+        if s >= free and (i == 0 or reach[i - 1] <= s):
             out.append((s, k, e))
             free = e
     return out
@@ -200,16 +202,22 @@ CANDIDATE = pa.list_(pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.i
 CANDIDATE_SQL = "array<struct<s:int,k:int,e:int,b:boolean,v:int,f:int>>"
 
 
-def scan(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id and ``found``, the candidates of the text."""
+def _scanned(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``found``, the candidates of their ``text``."""
+    names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[dict(zip("skebvf", c)) for c in candidates(t.as_py())] for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, CANDIDATE)], names=["doc_id", "found"])
+            found = [[dict(zip("skebvf", c)) for c in candidates(t)] for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, CANDIDATE)], names=[*names, "found"])
+
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields]
+    return rows.mapInArrow(run, ", ".join([*fields, f"found {CANDIDATE_SQL}"]))
 
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, found {CANDIDATE_SQL}")
+
+def scan(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id and ``found``, the candidates of the text."""
+    return _scanned(docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))).select("doc_id", "found")
 
 
 @dataclass
@@ -331,13 +339,12 @@ def find_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return spans_table(scanned, fit(scanned))
 
 
-def mask(text: str | None, model: SpanModel, seen: dict) -> str | None:
-    """The text with every accepted span replaced by its kind in brackets."""
+def mask(text: str | None, spans: list) -> str | None:
+    """The text with every span replaced by its kind in brackets."""
     if not text:
         return text
-    found = [dict(zip("skebvf", c)) for c in candidates(text)]
     out, at = [], 0
-    for c in sorted(_accepted(found, model, seen), key=lambda c: (c["s"], -c["e"])):
+    for c in sorted(spans, key=lambda c: (c["s"], -c["e"])):
         if c["e"] <= at:
             continue
         if c["s"] >= at:
@@ -347,15 +354,25 @@ def mask(text: str | None, model: SpanModel, seen: dict) -> str | None:
 
 
 def mask_pii(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with personal data replaced in ``text``; ``n_chars``, where present, follows the new text."""
-    model = fit(materialize(scan(docs, doc_id, text), "pii-candidates"))
+    """``docs`` with personal data replaced in ``text``; ``n_chars``, where present, follows the new text.
+
+    Texts are scanned once: the candidates are written beside their row.
+    """
+    others = [c for c in docs.columns if c != text]
+    row = F.struct(*[docs[c] for c in others]) if others else F.struct(F.lit(0).alias("none"))
+    scanned = materialize(_scanned(docs.select(row.alias("row"), docs[text].alias("text"))), "pii-candidates")
+    model = fit(scanned)
 
-    @F.pandas_udf("string")
-    def masked(column):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
-        return column.map(lambda t: mask(t, model, seen), na_action="ignore")
+        for batch in batches:
+            pairs = zip(batch.column("text").to_pylist(), batch.column("found").to_pylist())
+            masked = pa.array([mask(t, _accepted(found, model, seen)) for t, found in pairs], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), masked], names=["row", "text"])
 
-    out = docs.withColumn(text, masked(docs[text]))
+    kind = scanned.schema["row"].dataType.simpleString()
+    masked = scanned.mapInArrow(run, f"row {kind}, text string")
+    out = masked.select(*[F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
     if n_chars in docs.columns:
         (fresh,) = free_names(out, "fresh")
         kind = docs.schema[n_chars].dataType
