@@ -93,3 +93,13 @@ def test_holdout_counts_are_exact_on_ties_and_missing_dates(spark):
     gaps = spark.range(10).select(F.when(F.col("id") >= 6, F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int"))).alias("d"), F.col("id").alias("k"))
     for fraction in (0.2, 0.5, 0.9):
         assert chronological_holdout(gaps, "d", ["k"], fraction).filter("is_validation").count() == int(10 * fraction)
+
+
+def test_rows_with_map_columns_are_ordered(spark):
+    from venueflow.functions.columns import row_hash
+    from venueflow.operators.split import chronological_holdout
+
+    rows = spark.range(20).selectExpr("date'2020-01-01' as d", "id % 2 as s", "map('k', id) as m", "struct(map(1, id) as n) as t")
+    assert chronological_holdout(rows, "d", ["s"], 0.25).filter("is_validation").count() == 5
+    two = spark.sql("SELECT map('a', 1, 'b', 2) AS m UNION ALL SELECT map('b', 2, 'a', 1)")
+    assert two.select(row_hash(two).alias("h")).distinct().count() == 1

@@ -109,3 +109,16 @@ def format_floats(schema, scale: int) -> list[Column]:
         else F.col(f.name)
         for f in schema.fields
     ]
+
+
+def row_hash(df) -> Column:
+    """A hash of all columns of ``df``. Maps, which Spark does not hash, count as the list of their entries by key."""
+    parts = []
+    for field in df.schema.fields:
+        kind, value = field.dataType.simpleString(), df[field.name]
+        if kind.startswith("map<") and kind.count("map<") == 1:
+            value = F.array_sort(F.map_entries(value), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+        elif "map<" in kind:
+            value = F.to_json(F.struct(value))
+        parts.append(value)
+    return F.xxhash64(*parts)

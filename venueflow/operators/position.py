@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from venueflow.functions.columns import row_hash
 from venueflow.session import materialize
 
 _SLOT_BITS = 33  # fixed value: monotonically_increasing_id keeps the row's slot in the low 33 bits
@@ -81,8 +82,7 @@ def with_segment(df: DataFrame, date: str, ties: Sequence[str], ranks, name: str
     Rows with equal (date, *ties) are ordered by a hash of all their columns, so that exactly the
     wanted number of rows lies behind a cutoff; only wholly equal rows stay on one side together.
     """
-    columns = df.columns
-    df, ties = df.withColumn("_own", F.xxhash64(*columns)), [*ties, "_own"]
+    df, ties = df.withColumn("_own", row_hash(df)), [*ties, "_own"]
     # Read once per query: the cutoffs come back as a scalar of at most len(ranks) keys.
     cut = materialize(rank_cutoffs(df, date, ties, ranks), "cutoffs")
     key = F.struct(date, *ties)
