@@ -53,6 +53,27 @@ def test_byte_pair_ids_of_words_equal_those_of_texts():
         assert flat[a:b].tolist() == [*codes.encoding.encode_ordinary(text or ""), tokenfiles.END]
 
 
+def test_remembered_words_stay_below_their_bound(monkeypatch):
+    monkeypatch.setattr(tokenfiles, "KNOWN_CHARS", 60_000)
+    codes = tokenfiles.WordCodes(tokenfiles.read_ranks())
+    rng = random.Random(6)
+    most = 0
+    for _ in range(100):
+        texts = [f"{rng.random()}\n\nword  {rng.random()} \t and more " + "q" * rng.choice([1, 3000]) for _ in range(100)]
+        flat, ends = codes.encode(texts)
+        most = max(most, sum(map(len, codes.number)))
+        assert all(len(w) <= tokenfiles.LONGEST_KNOWN for w in codes.number)
+        assert flat[: ends[0]].tolist() == [*codes.encoding.encode_ordinary(texts[0]), tokenfiles.END]
+    assert most <= 60_000 + sum(map(len, texts))
+
+
+def test_texts_with_odd_blanks_are_cut_into_words():
+    codes = tokenfiles.WordCodes(tokenfiles.read_ranks())
+    text = "\n\n".join(f"line {i} of  text\twith tabs \u00a0 and more" for i in range(500))
+    words = codes._words(text)
+    assert "".join(words) == text and max(map(len, words)) < 20
+
+
 @pytest.mark.parametrize("block", [1, 3, 1000])
 def test_separator_scan_stitches_blocks(spark, block):
     folder = new_shared_path(spark, "scan")
@@ -109,6 +130,9 @@ def test_packing_is_lossless(spark):
     segments = materialize(packing.pack(docs, folder, row_tokens=256), "segments")
     codes = tokenfiles.WordCodes(tokenfiles.read_ranks())
     shards = {r["shard"]: packing.read_shard(folder, r["shard"], 256) for r in segments.select("shard").distinct().collect()}
+    listed = {r["shard"]: (r["rows"], r["segments"], r["tokens"]) for r in packing.write_manifest(segments, folder).collect()}
+    assert set(listed) == set(shards) and sum(x[2] for x in listed.values()) == sum(r["length"] for r in segments.collect())
+    assert all(listed[k][0] == len(shards[k]["ids"]) for k in shards)
     parts = {}
     for r in segments.collect():
         shard = shards[r["shard"]]

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from venueflow.llm import tokenfiles
 from venueflow.llm.tokenfiles import END, RANKS, WordCodes, open_folder, read_ranks, slices
@@ -149,6 +150,14 @@ def pack(docs: DataFrame, folder: str, row_tokens: int = ROW_TOKENS, doc_id: str
     return rows.mapInArrow(run, SEGMENTS.format(kind.simpleString()))
 
 
+def write_manifest(segments: DataFrame, folder: str) -> DataFrame:
+    """Write, and return, the shards that count: (shard, rows, segments, tokens). Shards of failed attempts are not in it."""
+    spark = segments.sparkSession
+    shards = segments.groupBy("shard").agg((F.max("row") + 1).alias("rows"), F.count("*").alias("segments"), F.sum("length").alias("tokens"))
+    shards.write.parquet(f"{folder}/manifest")
+    return spark.read.schema(shards.schema).parquet(f"{folder}/manifest")
+
+
 def read_shard(folder: str, name: str, row_tokens: int = ROW_TOKENS) -> dict[str, np.ndarray]:
     fs, path = open_folder(folder)
     kinds = {"ids": "<u2", "cu": "<i4", "at": "<i8", "reset": "<i8"}

@@ -21,7 +21,9 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every segment of every document stands in the packed matrices, which are written to the shared folder."""
     folder = new_shared_path(spark, "packed")
-    return materialize(packing.pack(table(spark, sf_dir, "documents"), folder), "packed-segments")
+    segments = materialize(packing.pack(table(spark, sf_dir, "documents"), folder), "packed-segments")
+    packing.write_manifest(segments, folder)
+    return segments
 
 
 @query("op3_simhash_near_dedup")

@@ -39,7 +39,11 @@ END = 50256
 FILE_TOKENS = 32 << 20  # a file is closed after the document that passes this
 BLOCK_TOKENS = 1 << 20  # tokens scanned at a time
 SLICE_CHARS = 4 << 20
-KNOWN_WORDS = 500_000
+KNOWN_CHARS = 12 << 20  # characters of remembered words, each counted with what it costs besides
+WORD_COST = 16
+LONGEST_KNOWN = 1 << 10  # longer words are encoded each time
+# Words of any text: white space, then other characters up to a blank or line end. Other white space may stand inside.
+WORDS = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
 OTHER_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 LOOSE = re.compile(r"\s\s|^\s|\s$| [^\S ]|[^\S ] ")  # blanks that a cut at single blanks would tear apart
 
@@ -50,10 +54,11 @@ def read_ranks(path: str = RANKS) -> dict[bytes, int]:
 
 
 class WordCodes:
-    """Byte-pair ids of texts, from the ids of their words, which are remembered within bounds.
+    """Byte-pair ids of texts, from the ids of their words, which are remembered within a bound on their characters.
 
-    No piece of the pattern crosses a single blank between two other characters, so a text without
-    other arrangements of blanks is cut there; any other text is encoded in one go.
+    No piece of the pattern reaches over the start of a blank or line end that follows another
+    character, so every text is cut there: one with single blanks only by a plain split, others by
+    ``WORDS``. What stands between two cuts is a word, however long; long ones are not remembered.
     """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
@@ -64,6 +69,7 @@ class WordCodes:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.chars = 0
         self.flat, self.used = np.zeros(1 << 16, dtype=np.int32), 0
         self.start, self.size = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
 
@@ -83,8 +89,6 @@ class WordCodes:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by END, in one array; and where each ends."""
-        if len(self.number) > KNOWN_WORDS:
-            self.forget()
         number, numbers, ends, new = self.number, [], [], []
         for text in texts:
             for w in self._words(text or ""):
@@ -97,12 +101,15 @@ class WordCodes:
             ends.append(len(numbers))
         if new:
             self._learn(new)
+            self.chars += sum(map(len, new)) + WORD_COST * len(new)
         picked = np.asarray(numbers, dtype=np.int64)
         sizes = np.where(picked < 0, 1, self.size[picked])
         before = np.concatenate(([0], np.cumsum(sizes)))
         spread = np.repeat(self.start[picked] - before[:-1], sizes) + np.arange(before[-1])
         ids = self.flat[np.where(np.repeat(picked < 0, sizes), 0, spread)]
         ids[before[1:][picked < 0] - 1] = END
+        if self.chars > KNOWN_CHARS or any(len(w) > LONGEST_KNOWN for w in new):
+            self.forget()
         return ids, before[np.asarray(ends, dtype=np.int64)]
 
     def _loose(self, text: str) -> bool:
@@ -115,7 +122,7 @@ class WordCodes:
         if not text:
             return []
         if self._loose(text):
-            return [text]
+            return WORDS.findall(text)
         first, *rest = text.split(" ")
         return [first, *[" " + w for w in rest]]
 
