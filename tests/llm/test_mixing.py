@@ -58,3 +58,27 @@ def test_edges(docs, empty):
     assert sorted((r["size"], r["taken"]) for r in out)[:2] == [(0, 0), (0, 0)] and len(out) == 4
     same = docs(["a b c"] * 6, sources=("x",), ids=[1] * 6)
     assert mixing.training_order(same).count() == 6
+
+
+def test_a_third_of_the_ids_missing_leaves_no_crowded_slice(docs, spark):
+    texts = [f"text {i} " + "w " * (i % 9) for i in range(2000)] + ["always the same"] * 1000
+    rows = docs(texts, sources=("s",), ids=[None if i % 3 else i for i in range(2000)] + [None] * 1000)
+    first = sorted(map(tuple, mixing.mix(rows).select("doc_id", "size", "taken", "begins").collect()), key=repr)
+    again = sorted(map(tuple, mixing.mix(rows.repartition(7)).select("doc_id", "size", "taken", "begins").collect()), key=repr)
+    assert first == again and len(first) == 3000
+    ends = sorted((r[3], r[3] + r[1]) for r in first)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))  # rows follow each other without gap or overlap
+
+
+def test_equal_rows_are_cut_into_groups_at_places_of_their_own(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 10)
+    out = mixing.mix(docs(["one two"] * 95 + [f"x y {i}" for i in range(95)], sources=("s",), ids=[None] * 190))
+    begins = sorted(r["begins"] for r in out.filter("size = 2").collect())
+    runs = 1 + sum(b - a != 2 for a, b in zip(begins, begins[1:]))
+    assert len(begins) == 95 and runs > 4
+
+
+def test_map_columns_take_part_in_the_training_order(docs):
+    rows = docs(["a b", "c d", "a b"], ids=[1, 2, 1]).withColumns({"m": F.create_map(F.lit("k"), F.col("text")), "deep": F.array(F.create_map(F.lit(1), F.lit(2)))})
+    out = mixing.training_order(rows)
+    assert out.columns == rows.columns and {r["m"]["k"] for r in out.collect()} <= {"a b", "c d"} and out.count() >= 3

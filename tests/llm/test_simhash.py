@@ -121,3 +121,8 @@ def test_one_row_of_each_group_stays(docs):
     rows = docs([text, text, text + " more", "quite another text about things", "quite another text about things"], ids=[3, 2, 9, 5, 5])
     kept = simhash.drop_near_duplicates(rows.union(rows))
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 5] and kept.columns == rows.columns
+
+
+def test_rows_with_maps_are_deduplicated(docs):
+    rows = docs(["the same text here", "the same text here", "something else than that"]).withColumn("m", F.create_map(F.lit("k"), F.lit("v")))
+    assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(rows).collect()) == [0, 2]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venueflow.functions.columns import row_hash
+
 SPACE = r"[\x20\x09-\x0D]+"  # what separates words, in Spark's and DuckDB's regex dialects
 
 
@@ -27,4 +29,4 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
 
 def row_key(df: DataFrame) -> Column:
     """A hash of all columns, so that rows sharing an id can be told apart."""
-    return F.xxhash64(*[df[c] for c in df.columns])
+    return row_hash(df)

@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from venueflow.llm.common import SPACE, free_names
+from venueflow.llm.common import SPACE, free_names, row_key
 from venueflow.session import materialize
 
 MAX_EPOCHS = 3
 WEIGHT_CYCLE = (1, 2, 3)
 RAMP_CYCLE = (0.5, 0.0, -0.5)  # slope of a source's schedule: weight(t) = weight * (1 + ramp * (2 t - 1))
+COPIES = 4096  # equal rows that stand together in a source's order
 SLICE_DIGITS = 4  # a source's order is cut into 16^4 slices; sums run inside a slice, over slice sums before it
 
 
@@ -33,7 +34,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     Sources in code point order, null last, weigh 1, 2, 3, repeating, and share all words. A target
     stops at MAX_EPOCHS times its source; the excess goes to the rest by weight. Sources reach that
     stop in order of size per weight, so running sums over this order give the share that remains.
-    The windows run over one row per source.
+    The windows run over one row per source, in one task: sources are named collections, few beside
+    the documents (a million of them would be a few seconds' work).
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
@@ -67,21 +69,29 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
 
     A document is taken in every whole epoch its source's target holds, and once more if its middle
     lies before the rest; so taken words miss a target by half a document at most. The order within a
-    source is that of an md5 of the id, then the id; reruns agree. Sums run in two steps, over slices of that
-    order and inside each slice, so no source meets in one task. Null texts have size 0, sources may
-    be null, rows repeated or without id count on their own, and an empty table gives an empty one.
+    source is that of a hash of id, size and text; reruns agree. Equal rows are counted first and stand
+    in the order in groups of ``COPIES``, each at a place of its own, so neither a missing or repeated
+    id nor a text that fills the table gathers rows. Sums run in two steps, over slices of that order
+    and inside each slice, so no source meets in one task. Null texts have size 0, sources may be
+    null, rows repeated or without id count on their own, and an empty table gives an empty one.
     """
-    order = F.md5(F.coalesce(docs[doc_id].cast("string"), F.lit("")))
+    body = F.coalesce(docs[text], F.lit(""))
+    place = F.md5(F.concat_ws(":", F.coalesce(docs[doc_id].cast("string"), F.lit("")), size(body).cast("string"), F.md5(body)))
     rows = docs.select(
         (key if key is not None else F.lit(None).cast("long")).alias("key"), docs[doc_id].alias("doc_id"), docs[source].alias("source"),
-        size(docs[text]).alias("size"), order.alias("place"),
+        size(docs[text]).alias("size"), place.alias("place"),
     )
-    rows = materialize(rows.withColumn("slice", F.substring("place", 1, SLICE_DIGITS)), "mix-sizes")
-    plan = _slice_plan(rows)
-    within = Window.partitionBy("source", "slice").orderBy("place", F.col("doc_id").asc_nulls_last(), "size", "key").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    equal = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    units = equal.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES).cast("int"))).alias("group"))
+    units = units.withColumn("n", F.least(F.lit(COPIES), F.col("n") - F.col("group") * COPIES).cast("int"))
+    units = units.withColumn("spot", F.md5(F.concat_ws(":", "place", F.col("group").cast("string")))).drop("place", "group")
+    units = materialize(units.withColumn("slice", F.substring("spot", 1, SLICE_DIGITS)), "mix-sizes")
+    plan = _slice_plan(units.select("source", "slice", (F.col("size") * F.col("n")).alias("size")))
+    within = Window.partitionBy("source", "slice").orderBy("spot", F.col("doc_id").asc_nulls_last(), "size", "key").rowsBetween(Window.unboundedPreceding, -1)
+    rows = units.withColumn("ahead", F.coalesce(F.sum(F.col("size") * F.col("n")).over(within), F.lit(0)))
     rows = rows.join(plan, rows["source"].eqNullSafe(plan["slice_source"]) & (rows["slice"] == plan["slice_name"]))
-    begins = F.col("slice_begins") + F.col("ahead")
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("nth"))
+    begins = F.col("slice_begins") + F.col("ahead") + F.col("nth") * F.col("size")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = F.col("target") - epochs * F.col("source_size")
     extra = F.when((F.col("size") > 0) & (begins + F.col("size") / 2 < rest), 1).otherwise(0)
@@ -125,7 +135,7 @@ def training_order(docs: DataFrame, doc_id: str = "doc_id", source: str = "sourc
     Documents not taken go. Wholly equal rows are first counted and then mixed one by one.
     """
     (own, seat) = free_names(docs, "row_key", "seat")
-    keyed = docs.withColumn(own, F.xxhash64(*[docs[c] for c in docs.columns]))
+    keyed = docs.withColumn(own, row_key(docs))
     mixed = mix(keyed, doc_id, source, text, keyed[own]).filter("taken > 0")
     steps = mixed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("epoch"))
     at = positions((F.col("begins") + F.col("epoch") * F.col("source_size")).cast("double"), F.col("target"), F.col("ramp"))
@@ -142,9 +152,12 @@ def sql() -> str:
     cycle = "[" + ", ".join(map(str, WEIGHT_CYCLE)) + "]"
     ramps = "[" + ", ".join(map(str, RAMP_CYCLE)) + "]"
     return rf"""
-    WITH s AS (
+    WITH w0 AS (
       SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-             md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place FROM documents),
+             md5(coalesce(text, '')) AS said FROM documents),
+    p0 AS (SELECT doc_id, source, size, md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), ''), CAST(size AS VARCHAR), said)) AS place FROM w0),
+    n0 AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source, size, place) - 1 AS nth FROM p0),
+    s AS (SELECT doc_id, source, size, nth, md5(concat_ws(':', place, CAST(nth // {COPIES} AS VARCHAR))) AS place FROM n0),
     per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM s GROUP BY source),
     w AS (SELECT *, {MAX_EPOCHS} * source_size AS most,
                  {cycle}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHT_CYCLE)} + 1] AS weight,
@@ -157,7 +170,7 @@ def sql() -> str:
                  weight * CAST(total - sum(CASE WHEN stops THEN most ELSE 0 END) OVER () AS DOUBLE)
                  / CAST(weights - sum(CASE WHEN stops THEN weight ELSE 0 END) OVER () AS DOUBLE) END AS target FROM g),
     r AS (SELECT s.*, source_size, target, ramp,
-                 coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY place, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+                 coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY place, doc_id NULLS LAST, size, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
           FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source),
     e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM r),
     p AS (SELECT *, CAST(least(epochs + CASE WHEN size > 0 AND begins + size / 2 < target - epochs * source_size THEN 1 ELSE 0 END, {MAX_EPOCHS}) * size AS BIGINT) AS taken FROM e)
