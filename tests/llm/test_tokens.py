@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -32,6 +33,44 @@ def test_same_ids_as_the_library(library):
         assert flat[a:b].tolist() == library.encode(text), text
 
 
+def test_text_without_blanks_equals_the_library(library):
+    rng = random.Random(12)
+    letters = "的一是不了人我在有他这为之大来以个中上们日本語テキスト가나다라ёжик😀aāéß0123.,-=/"
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (1, 5, 23, 24, 25, 26, 60, 200, 999, 3000) for _ in range(12)]
+    texts += ["".join(rng.choice("aabeinrst") for _ in range(400)) for _ in range(20)] + ["=" * 500, "ab" * 300, "的" * 700, "\n".join(["没有空格的句子" * 9] * 5)]
+    encoder = sentencepieces.Encoder(sentencepieces.read_vocabulary())
+    flat, ends = encoder.encode(texts)
+    for text, a, b in zip(texts, [0, *ends[:-1]], ends):
+        assert flat[a:b].tolist() == library.encode(text), text
+
+
+def test_text_without_blanks_costs_little_more_than_spaced_text():
+    rng = random.Random(2)
+    vocabulary = sentencepieces.read_vocabulary()
+    ideographs = [chr(c) for c in range(0x4E00, 0x6E00)]
+    solid = ["".join(rng.choice(ideographs) for _ in range(8000)) for _ in range(6)]
+    spaced = [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 9))) for _ in range(1400)) for _ in range(6)]
+
+    def cost(texts):
+        encoder = sentencepieces.Encoder(vocabulary)
+        begin = time.process_time()
+        encoder.encode(texts)
+        return (time.process_time() - begin) / sum(map(len, texts))
+
+    assert cost(solid) < 10 * cost(spaced)
+
+
+def test_remembered_pieces_stay_below_their_bound(monkeypatch, library):
+    monkeypatch.setattr(sentencepieces, "KNOWN_CHARS", 20_000)
+    encoder = sentencepieces.Encoder(sentencepieces.read_vocabulary())
+    rng = random.Random(4)
+    for _ in range(30):
+        texts = [" ".join(f"w{rng.random()}" for _ in range(30)) + "a" * rng.choice([1, 1200]) for _ in range(10)]
+        flat, ends = encoder.encode(texts)
+        assert flat[: ends[0]].tolist() == library.encode(texts[0])
+        assert sum(map(len, encoder.number)) <= 20_000 and all(len(w) <= sentencepieces.LONGEST_KNOWN for w in encoder.number)
+
+
 def test_whole_table_and_round_trip(spark, library):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = sentencepieces.decode(sentencepieces.encode(docs)).collect()

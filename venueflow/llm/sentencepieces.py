@@ -6,10 +6,13 @@ exactly one last piece, the one that is *stable* next to the last piece of what
 (merging by rank from single characters gives these two pieces again). So the lattice keeps one
 state per position, and the maximum over the pieces ending there picks the stable one.
 
-A batch's distinct words are grouped by length and each group advances together, position by
-position: hashes of the last 1 to 16 characters come from prefix hashes, probe the sorted piece
-keys, and hits are compared character by character. Stability is found by undoing merges on both
-sides of the cut, for all new pairs at once, and kept in a table.
+A batch's distinct words are put side by side in blocks, longest first, and advance together,
+position by position, the shorter ones stopping earlier: hashes of the last 1 to 16 characters come
+from prefix hashes, probe the sorted piece keys, and hits are compared character by character.
+Stability is found by undoing merges on both sides of the cut, for all new pairs at once, and kept
+in a table. Words longer than ``CUT_CHARS`` are first cut between neighbouring characters that stand
+side by side in no piece: no merge can reach over such a place, so text without blanks is short
+words too.
 
 Words are cut before blanks and around line ends, which no piece of the model crosses (checked when
 the model is read). Runs of blanks merge last and from the left; they are encoded apart.
@@ -43,7 +46,10 @@ BASE = np.uint64(0x9E3779B97F4A7C15)  # odd; prefix hashes are polynomials in it
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
 PAIR_SLOTS = 1 << 20  # stability of pairs seen lately
 CELLS = 1 << 21  # characters of a group that advance at a time
-KNOWN_WORDS = 400_000  # words whose ids a task keeps
+KNOWN_CHARS = 9 << 20  # characters of the words whose ids a task keeps, each counted with what it costs besides
+WORD_COST = 16
+LONGEST_KNOWN = 1 << 10  # longer words are encoded each time
+CUT_CHARS = 24  # longer words are cut where no piece can cross
 SLICE_CHARS = 1 << 22  # text handled at a time, whole texts only
 
 
@@ -83,6 +89,7 @@ class Vocabulary:
     key_rank: np.ndarray
     runs: dict[str, float]  # scores of the pieces that are blanks only
     run_ids: dict[str, int]
+    sides: np.ndarray  # sorted pairs of characters that stand side by side in a piece
     byte_ids: np.ndarray  # byte -> piece id
     out: list[bytes]  # piece id -> its bytes
 
@@ -95,9 +102,13 @@ def key(h: np.ndarray, size) -> np.ndarray:
     return h ^ (np.asarray(size).astype(np.uint64) * SPREAD)
 
 
-def code_points(words: list[str]) -> np.ndarray:
-    """Characters of equally long words, one row each."""
-    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(words), -1)
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def pairs_of(codes: np.ndarray) -> np.ndarray:
+    """Each character with the next one, as one number."""
+    return (codes[:-1].astype(np.uint64) << np.uint64(21)) | codes[1:].astype(np.uint64)
 
 
 def prefix_hashes(codes: np.ndarray) -> np.ndarray:
@@ -148,18 +159,19 @@ def read_vocabulary(path: str = MODEL) -> Vocabulary:
     for length in range(1, size.max() + 1):
         own = np.flatnonzero(size == length)
         if len(own):
-            codes[own, :length] = points = code_points([ordered[r] for r in own])
+            codes[own, :length] = points = code_points("".join([ordered[r] for r in own])).reshape(len(own), length)
             hashes[own] = prefix_hashes(points)[:, -1]
     keys = key(hashes, size)
     order = np.argsort(keys)
     if (keys[order][1:] == keys[order][:-1]).any():
         raise ValueError("two pieces share a hash")
     halves = [splits.get(p, (p, p)) for p in ordered]
+    sides = np.unique(np.concatenate([pairs_of(code_points(p)) for p in normal if len(p) > 1]))
     return Vocabulary(
         ids=np.array([normal[p] for p in ordered], dtype=np.int32),
         left=np.array([rank[a] for a, _ in halves], dtype=np.int32), right=np.array([rank[b] for _, b in halves], dtype=np.int32),
         size=size, hash=hashes, codes=codes, keys=keys[order], key_rank=order.astype(np.int32),
-        runs=runs, run_ids={p: normal[p] for p in (*runs, BLANK)}, byte_ids=byte_ids, out=out,
+        runs=runs, run_ids={p: normal[p] for p in (*runs, BLANK)}, sides=sides, byte_ids=byte_ids, out=out,
     )
 
 
@@ -177,6 +189,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.chars = 0
         self.new: list[str] = []
         self.flat, self.used = np.zeros(1 << 16, dtype=np.int32), 0
         self.start, self.size = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
@@ -233,17 +246,33 @@ class Encoder:
             a[at], b[at] = np.where(first, v.right[x], x), np.where(first, y, v.left[y])
         return ok
 
+    def cut(self, word: str) -> list[str]:
+        """Parts of a long word that no piece reaches over."""
+        codes = code_points(word)
+        pairs = pairs_of(codes)
+        at = np.minimum(np.searchsorted(self.v.sides, pairs), len(self.v.sides) - 1)
+        blank = codes == ord(BLANK)
+        free = np.flatnonzero((self.v.sides[at] != pairs) & ~blank[:-1] & ~blank[1:]) + 1
+        ends = [0, *free.tolist(), len(word)]
+        return [word[i:j] for i, j in zip(ends, ends[1:])]
+
     def segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of equally long words, which advance together, one after the other, and each word's number of ids."""
-        v, codes = self.v, code_points(words)
-        n, length = codes.shape
+        """Ids of the words, which advance together, one word after the other, and each word's number of ids."""
+        v, n = self.v, len(words)
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=n)
+        order = np.argsort(-lengths, kind="stable")
+        own = lengths[order]
+        length = int(own[0])
+        codes = np.zeros((n, length), dtype=np.uint32)
+        codes[np.arange(length) < own[:, None]] = code_points("".join([words[i] for i in order.tolist()]))
         prefix = prefix_hashes(codes)
         last = np.full((n, length + 1), -1, dtype=np.int64)
         back = np.zeros((n, length + 1), dtype=np.int32)
         for i in range(1, length + 1):
+            live = int(np.searchsorted(-own, -i, side="right"))  # words that are long enough
             most = min(i, v.longest)
             sizes = np.arange(1, most + 1)
-            rank = self.find(prefix[:, i, None] - prefix[:, i - sizes] * self.pow[sizes], np.broadcast_to(sizes, (n, most)))
+            rank = self.find(prefix[:live, i, None] - prefix[:live, i - sizes] * self.pow[sizes], np.broadcast_to(sizes, (live, most)))
             w, s = np.nonzero(rank >= 0)
             r = rank[w, s]
             s = s + 1
@@ -253,21 +282,21 @@ class Encoder:
                 same[deep] &= v.codes[r[deep], s[deep] - 1 - k] == codes[w[deep], i - 1 - k]
             w, s, r = w[same], s[same], r[same]
             good = (s == i) | self.stable(np.where(s == i, -1, last[w, i - s]), r)
-            best = np.zeros(n, dtype=np.int32)
+            best = np.zeros(live, dtype=np.int32)
             np.maximum.at(best, w[good], s[good].astype(np.int32))
             chosen = good & (s == best[w])
             last[w[chosen], i] = r[chosen]
-            missing = best == 0  # a character outside the model stands alone
+            missing = np.flatnonzero(best == 0)  # a character outside the model stands alone
             last[missing, i] = -1 - codes[missing, i - 1].astype(np.int64) - 1
-            back[:, i] = np.where(missing, 1, best)
-        at, rows, ranks = np.full(n, length), [], []
+            back[:live, i] = np.where(best == 0, 1, best)
+        at, rows, ranks = own.copy(), [], []
         while len(live := np.flatnonzero(at)):
             rows.append(live)
             ranks.append(last[live, at[live]])
             at[live] -= back[live, at[live]]
-        rows, ranks = np.concatenate(rows[::-1]), np.concatenate(ranks[::-1])
-        order = np.argsort(rows, kind="stable")
-        rows, ranks = rows[order], ranks[order]
+        rows, ranks = order[np.concatenate(rows[::-1])], np.concatenate(ranks[::-1])
+        by_word = np.argsort(rows, kind="stable")
+        rows, ranks = rows[by_word], ranks[by_word]
         ids = v.ids[np.maximum(ranks, 0)]
         if (strange := ranks < 0).any():
             bytes_of = [v.byte_ids[list(chr(-r - 2).encode("utf-8", "surrogatepass"))] for r in ranks[strange].tolist()]
@@ -292,20 +321,17 @@ class Encoder:
 
     def learn(self) -> None:
         """Encode the new words; those that begin with several blanks, from a word with one."""
-        by_length: dict[int, list[str]] = {}
         wide = [w for w in self.new if w.startswith(BLANK * 2) or w == BLANK]
         for w in wide:
             if (body := w.lstrip(BLANK)) and BLANK + body not in self.number:
                 self.number[BLANK + body] = len(self.number)
                 self.new.append(BLANK + body)
-        for w in self.new:
-            if not w.startswith(BLANK * 2) and w != BLANK:
-                by_length.setdefault(len(w), []).append(w)
-        for length, words in by_length.items():
-            step = max(1, CELLS // (length * 16))
-            for i in range(0, len(words), step):
-                some = words[i : i + step]
-                self._keep(np.array([self.number[w] for w in some]), *self.segment(some))
+        words = sorted((w for w in self.new if not w.startswith(BLANK * 2) and w != BLANK), key=len, reverse=True)
+        i = 0
+        while i < len(words):
+            some = words[i : i + max(1, CELLS // (len(words[i]) * 16))]
+            self._keep(np.array([self.number[w] for w in some]), *self.segment(some))
+            i += len(some)
         blank = self.v.run_ids[BLANK]
         for w in wide:
             body = w.lstrip(BLANK)
@@ -324,17 +350,18 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text ends."""
-        if len(self.number) > KNOWN_WORDS:
-            self.forget()
-        number, numbers, ends = self.number, [], []
+        number, numbers, ends, long = self.number, [], [], False
         for text in texts:
             if text:
-                for w in CHUNKS.findall(BLANK + text.replace(" ", BLANK)):
-                    k = number.get(w)
-                    if k is None:
-                        number[w] = k = len(number)
-                        self.new.append(w)
-                    numbers.append(k)
+                for chunk in CHUNKS.findall(BLANK + text.replace(" ", BLANK)):
+                    for w in (chunk,) if len(chunk) <= CUT_CHARS else self.cut(chunk):
+                        k = number.get(w)
+                        if k is None:
+                            number[w] = k = len(number)
+                            self.new.append(w)
+                            self.chars += len(w) + WORD_COST
+                            long |= len(w) > LONGEST_KNOWN
+                        numbers.append(k)
             ends.append(len(numbers))
         if self.new:
             self.learn()
@@ -342,20 +369,26 @@ class Encoder:
         sizes = self.size[picked]
         before = np.concatenate(([0], np.cumsum(sizes)))
         spread = np.repeat(self.start[picked] - before[:-1], sizes)
-        return self.flat[spread + np.arange(before[-1])], before[np.asarray(ends, dtype=np.int64)]
+        ids = self.flat[spread + np.arange(before[-1])]
+        if long or self.chars > KNOWN_CHARS:
+            self.forget()
+        return ids, before[np.asarray(ends, dtype=np.int64)]
 
 
-def slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows holding about SLICE_CHARS characters each; a longer text stands alone."""
-    start = chars = 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
-        if i > start and chars + n > SLICE_CHARS:
+def runs_of(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows holding about SLICE_CHARS characters, or ids, each; a larger row stands alone."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > SLICE_CHARS:
             yield start, i
-            start, chars = i, 0
-        chars += n
-    if start < len(texts):
-        yield start, len(texts)
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    return runs_of([len(t or "") for t in texts])
 
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = MODEL) -> DataFrame:
@@ -377,17 +410,42 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = M
     return out.select(*[F.col("row")[c].alias(c) for c in names], F.col("ids").alias(ids))
 
 
-def decode_ids(ids: list[int], out: list[bytes]) -> str:
-    body = b"".join([out[i] for i in ids]).decode("utf-8", "replace").replace(BLANK, " ")
-    return body[1:] if body.startswith(" ") else body
+class Decoder:
+    """Texts of id lists, whose bytes are taken from one table for all lists together."""
+
+    def __init__(self, out: list[bytes]) -> None:
+        self.body = np.frombuffer(b"".join(out), dtype=np.uint8)
+        self.size = np.array([len(x) for x in out], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """One text for each list of ids, which ends at ``ends``."""
+        sizes = self.size[ids]
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        said = self.body[np.repeat(self.start[ids] - upto[:-1], sizes) + np.arange(upto[-1])].tobytes()
+        out, begin = [], 0
+        for end in upto[ends].tolist():
+            text = said[begin:end].decode("utf-8", "replace").replace(BLANK, " ")
+            out.append(text[1:] if text.startswith(" ") else text)
+            begin = end
+        return out
 
 
 def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", model: str = MODEL) -> DataFrame:
-    """``encoded`` with the text of its ids in a new column ``text``."""
+    """``encoded`` with the text of its ids in a column ``text`` (replacing one of that name)."""
     pieces = read_vocabulary(model).out
+    names = [c for c in encoded.columns if c.lower() != text.lower()]
+    rows = encoded.select(F.struct(*[encoded[c] for c in names]).alias("row"), encoded[ids].cast("array<int>").alias("ids"))
 
-    @F.pandas_udf("string")
-    def decoded(column):
-        return column.map(lambda x: decode_ids(x.tolist(), pieces), na_action="ignore")
-
-    return encoded.withColumn(text, decoded(encoded[ids]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(pieces)
+        for batch in batches:
+            sizes = batch.column("ids").value_lengths().fill_null(0).to_numpy()
+            for i, j in runs_of(sizes.tolist()):
+                column = batch.column("ids").slice(i, j - i)
+                texts = decoder.decode(column.flatten().to_numpy(), np.cumsum(sizes[i:j]))
+                masked = pa.array(texts, pa.string(), mask=column.is_null().to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(i, j - i), masked], names=["row", "decoded"])
+
+    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, decoded string")
+    return out.select(*[F.col("row")[c].alias(c) for c in names], F.col("decoded").alias(text))
