@@ -48,7 +48,7 @@ BLANK = "▁"
 # Chunks: blanks, then other characters up to a blank or line end; other white space may stand inside.
 CHUNKS = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
 BLOCK_CHARS = 1 << 21
-KNOWN_CHARS = 1 << 22  # characters of remembered chunks
+KNOWN_CHARS = 10 << 20  # characters of remembered chunks
 LONGEST_KNOWN = 1 << 10  # longer chunks are worked out each time
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
