@@ -96,7 +96,7 @@ def test_ensemble_and_final_mix(spark, tables):
     members = [
         ensemble.spark_ml("line", 0.5, models.linear()),
         ensemble.neighbours("near", 0.3, 4),
-        ensemble.factor("factors", 0.2, ["store_code", "dow"], factors=2, rounds=5),
+        ensemble.factor("factors", 0.2, ["store_code", "dow"], factors=2, sweeps=1),
     ]
     out = ensemble.fit_and_predict(train, test, columns, members)
     assert out.count() == 14 and out.filter("visitors IS NULL OR visitors < 0").count() == 0
