@@ -88,7 +88,7 @@ def predictions(t, estimator):
 
 
 SMALL = dict(rounds=10, depth=4)  # smaller than the defaults, to keep the check short
-FACTORS = dict(sweeps=2)
+FACTORS = dict(sweeps=1)
 
 
 @query("ml1_boosted_trees")
@@ -320,7 +320,7 @@ def members():
     return [
         ensemble.spark_ml("trees", 0.2, models.boosted_trees(**SMALL)),
         ensemble.spark_ml("sampled_trees", 0.4, models.boosted_trees_with_column_sampling(**SMALL)),
-        ensemble.factor("factors", 0.4, CATEGORIES, **FACTORS),
+        ensemble.factor("factors", 0.4, CATEGORIES, words=False, **FACTORS),
     ]
 
 
