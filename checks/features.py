@@ -324,6 +324,29 @@ def _(t):
     return rounded_profile(holed, ["store_id", "dow"], count_nulls=True)
 
 
+GRAINS = {
+    "store_dow": ["store_id", "dow"],
+    "area_dow": ["area_name", "dow"],
+    "genre_dow": ["genre_name", "dow"],
+    "area_month_dow": ["area_name", "month", "dow"],
+    "genre_month_dow": ["genre_name", "month", "dow"],
+    "store_month": ["store_id", "month"],
+}
+_GRAIN_KEYS = ("store_id", "dow", "area_name", "genre_name", "month")
+
+
+def grain_sql(name, keys):
+    shown = ", ".join(k if k in keys else f"NULL AS {k}" for k in _GRAIN_KEYS)
+    source = _PARTS if "store_id" in keys else _PLACED
+    return f"SELECT '{name}' AS grain, {shown}, * EXCLUDE ({', '.join(keys)}) FROM ({profile_sql(', '.join(keys), source)})"
+
+
+@query("a3_a6_profiles_one_scan", " UNION ALL BY NAME ".join(grain_sql(n, ks) for n, ks in GRAINS.items()))
+def _(t):
+    merged = profiles.profiles_at(profiles.date_parts(t.visits()), GRAINS, side=t.stores())
+    return merged.withColumn("mean_visitors", F.round("mean_visitors", 6))
+
+
 @query(
     "a11_distance_to_global_max",
     """SELECT store_id, round((SELECT max(latitude) FROM stores) - latitude, 6) AS var_max_lat,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from venueflow.functions.columns import make_id
-from venueflow.operators import blend, evaluate, knn, select, split
+from venueflow.operators import approximate, blend, evaluate, knn, select, split
 from venueflow.operators.baseline import enrich_with_calendar, lookup_baseline, mean_of_means
 from venueflow.plans.forecast import add_baseline_feature, add_prior_baseline, baseline_forecast, fit_baseline, weighted_calendar
 from venueflow.plans.tuning import refit_best_neighbours
@@ -38,6 +38,11 @@ def _(t):
     return knn.regress(knn.nearest(*sides(t), 4)).withColumn("prediction", F.round("prediction", 6))
 
 
+@query("ml3_approximate_neighbours")
+def _(t):
+    return approximate.nearest_approximate(*sides(t), 4)
+
+
 def votes_sql(k, weight, cond="TRUE"):
     return f"""SELECT query_id, arg_min(label, [-v, label]) AS prediction FROM (
       SELECT query_id, label, sum({weight}) AS v FROM (

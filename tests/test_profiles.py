@@ -95,3 +95,20 @@ def test_missing_keys_are_left_out_of_every_profile(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0)], "k string, visitors double")
     rows = [sorted(tuple(r) for r in profiles.profile(df, ["k"], median=m).collect()) for m in ("exact", "bracketed")]
     assert rows[0] == rows[1] == [("a", 1.0, 2.0, 2.0, 3.0, 2)]
+
+
+def test_profiles_of_all_grains_from_one_scan(spark, tmp_path):
+    rows = [("a", 1, 1, 5), ("a", 1, 1, 8), ("a", 2, 1, None), ("b", 1, 1, 7), ("b", None, 2, 4), (None, 1, 2, 3), ("c", 1, 1, 100)]
+    path = str(tmp_path / "visits")
+    spark.createDataFrame(rows, "store_id string, dow int, month int, visitors int").write.parquet(path)
+    visits = spark.read.parquet(path)
+    side = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None)], "store_id string, area_name string")
+    grains = {"store": ["store_id", "dow"], "area": ["area_name", "dow"], "month": ["area_name", "month"]}
+    for count_nulls in (False, True):
+        merged = profiles.profiles_at(visits, grains, side=side, count_nulls=count_nulls)
+        assert merged._jdf.queryExecution().optimizedPlan().toString().count("Relation [store_id") == 1
+        for grain, keys in grains.items():
+            got = profiles.at_grain(merged, grain, keys, prefix="p_")
+            want = profiles.profile(visits.join(side, "store_id", "left"), keys, prefix="p_", count_nulls=count_nulls)
+            assert got.columns == want.columns
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), grain

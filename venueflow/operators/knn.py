@@ -196,16 +196,36 @@ def nearest(
     t_blocks = F.lit([max(1, int(-(-c // block_rows))) for c in summary[0]])
     q_blocks = F.lit([max(1, -(-per_cell.get(c, 0) // block_rows)) for c in range(n_cells)])
     t_n, q_n = F.element_at(t_blocks, F.col("_cell") + 1), F.element_at(q_blocks, F.col("_cell") + 1)
-    left = cells.drop("_radius").withColumn("_tb", F.pmod(F.xxhash64(train_id), t_n)).withColumn(
-        "_qb", F.explode(F.sequence(F.lit(0), q_n - 1))
+    left = cells.drop("_radius").withColumns({"_tn": t_n, "_qn": q_n})
+    right = visits.withColumn("_cell", F.explode("_cells")).drop("_cells").withColumns({"_tn": t_n, "_qn": q_n})
+    found = _meet(left, right, k, query_id, train_id, vector, payload, fold)
+    return _ranked(found, k, query_id, train_id, payload)
+
+
+def _ranked(found: DataFrame, k: int, query_id: str, train_id: str, payload: str) -> DataFrame:
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy("_sq", train_id)))
+    return ranked.filter(F.col("rank") <= k).select(
+        query_id, "rank", train_id, F.sqrt("_sq").alias("distance"), payload
     )
-    right = visits.withColumn("_cell", F.explode("_cells")).drop("_cells")
-    right = right.withColumn("_qb", F.pmod(F.xxhash64(query_id), q_n)).withColumn(
-        "_tb", F.explode(F.sequence(F.lit(0), t_n - 1))
+
+
+def _meet(
+    left: DataFrame, right: DataFrame, k: int, query_id: str, train_id: str, vector: str, payload: str, fold: str | None
+) -> DataFrame:
+    """(query_id, train_id, _sq, payload): the k best of every block of a cell for each query of that cell.
+
+    ``left`` holds training rows and ``right`` queries, one row per ``_cell``, with the number of
+    blocks ``_tn`` and ``_qn`` that either side of the cell is cut into.
+    """
+    left = left.withColumn("_tb", F.pmod(F.xxhash64(train_id), F.col("_tn"))).withColumn(
+        "_qb", F.explode(F.sequence(F.lit(0), F.col("_qn") - 1))
     )
-    left = left.withColumns({"_tb": F.col("_tb").cast("int"), "_qb": F.col("_qb").cast("int")})
-    right = right.withColumns({"_tb": F.col("_tb").cast("int"), "_qb": F.col("_qb").cast("int")})
-    fields = [queries.schema[query_id], train.schema[train_id], T.StructField("_sq", T.DoubleType()), train.schema[payload]]
+    right = right.withColumn("_qb", F.pmod(F.xxhash64(query_id), F.col("_qn"))).withColumn(
+        "_tb", F.explode(F.sequence(F.lit(0), F.col("_tn") - 1))
+    )
+    blocks = {"_tb": F.col("_tb").cast("int"), "_qb": F.col("_qb").cast("int")}
+    left, right = left.drop("_tn", "_qn").withColumns(blocks), right.drop("_tn", "_qn").withColumns(blocks)
+    fields = [right.schema[query_id], left.schema[train_id], T.StructField("_sq", T.DoubleType()), left.schema[payload]]
     schema = T.StructType(fields)
 
     def best(points: pa.Table, asked: pa.Table) -> pa.Table:
@@ -231,11 +251,7 @@ def nearest(
         })
 
     group = ["_cell", "_tb", "_qb"]
-    found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(best, schema)
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy("_sq", train_id)))
-    return ranked.filter(F.col("rank") <= k).select(
-        query_id, "rank", train_id, F.sqrt("_sq").alias("distance"), payload
-    )
+    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(best, schema)
 
 
 def regress(neighbours: DataFrame, query_id: str = "query_id", payload: str = "label", name: str = "prediction") -> DataFrame:

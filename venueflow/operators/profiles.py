@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,6 +88,59 @@ def bracketed_median(
     )
 
 
+def profiles_at(
+    df: DataFrame,
+    grains: Mapping[str, Sequence[str]],
+    measure: str = "visitors",
+    side: DataFrame | None = None,
+    entity: str = "store_id",
+    count_nulls: bool = False,
+) -> DataFrame:
+    """The profiles of several grains from one scan: a row per grain and key.
+
+    Rows are first counted per distinct value of the finest key, and these counts merge upwards into
+    every grain, the exact median included. ``side`` holds further keys, one row per ``entity``;
+    it joins the counts instead of the rows. Returns (grain, every key, minimum, mean, median,
+    maximum, count); keys that a grain does not use are null, rows with a missing key of a grain are
+    left out of it. ``count_nulls`` counts rows instead of values. See ``at_grain``.
+    """
+    keys = list(dict.fromkeys(k for ks in grains.values() for k in ks))
+    sets = {frozenset(ks): name for name, ks in grains.items()}
+    if len(sets) < len(grains):
+        raise ValueError("two grains with the same keys")
+    lent = [k for k in keys if side is not None and k in side.columns and k != entity]
+    finest = [k for k in keys if k not in lent]
+    if lent and entity not in finest:
+        finest.append(entity)
+    counts = df.groupBy(*finest, F.col(measure).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    if lent:
+        counts = counts.join(side.select(entity, *lent), entity, "left")
+    v, c = F.col("_v"), F.col("_c")
+    valued = F.when(v.isNotNull(), c)
+    # Bit by bit from the left, grouping_id tells the keys left out of a grain.
+    ids = {name: int("".join("0" if k in ks else "1" for k in keys), 2) for ks, name in sets.items()}
+    merged = counts.groupingSets([list(ks) for ks in grains.values()], *keys).agg(
+        F.grouping_id().alias("_g"),
+        F.min(v).alias(f"min_{measure}"),
+        (F.sum(v * c) / F.sum(valued)).alias(f"mean_{measure}"),
+        F.percentile(v, 0.5, c).alias(f"median_{measure}"),
+        F.max(v).alias(f"max_{measure}"),
+        F.coalesce(F.sum(c if count_nulls else valued), F.lit(0)).alias("count_observations"),
+    )
+    name, held = F.lit(None).cast("string"), F.lit(False)
+    for grain, ks in grains.items():
+        this = F.col("_g") == ids[grain]
+        name = F.when(this, F.lit(grain)).otherwise(name)
+        held = held | (this & ~F.greatest(*[F.col(k).isNull() for k in ks], F.lit(False)))
+    return merged.filter(held).select(name.alias("grain"), *[x for x in merged.columns if x != "_g"])
+
+
+def at_grain(merged: DataFrame, grain: str, keys: Sequence[str], measure: str = "visitors", prefix: str = "") -> DataFrame:
+    """One grain of ``profiles_at`` with the columns of ``profile``."""
+    stats = [*[f"{s}_{measure}" for s in ("min", "mean", "median", "max")], "count_observations"]
+    return merged.filter(F.col("grain") == grain).select(*keys, *[F.col(s).alias(prefix + s) for s in stats])
+
+
 def attach(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join a keyed table; Spark picks broadcast or shuffle from the sizes it measures."""
     return df.join(side, list(keys), how)

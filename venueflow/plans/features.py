@@ -93,10 +93,11 @@ def feature_frames(
     bookings = materialize(profiles.paired_reservation_features(reservations_a, own_b, far_only=far_only), "bookings")
 
     group_tables = []
-    for keys in GROUPED[grouped] if grouped else ():
-        placed = profiles.attach(history, table.filter("is_target").select("store_id", keys[0]), ["store_id"], "inner")
-        prefix = "area_" if keys[0] == "area_name" else "genre_"
-        group_tables.append((keys, materialize(profiles.profile(placed, keys, prefix=prefix), prefix + "profile")))
+    if grouped:
+        grains = {"area_" if keys[0] == "area_name" else "genre_": keys for keys in GROUPED[grouped]}
+        placed = table.filter("is_target").select("store_id", *[keys[0] for keys in grains.values()])
+        merged = materialize(profiles.profiles_at(history, grains, side=placed), "group-profiles")
+        group_tables = [(keys, profiles.at_grain(merged, prefix, keys, prefix=prefix)) for prefix, keys in grains.items()]
     next_code = table.select(F.max("store_code") + 1)
 
     def frame(rows: DataFrame, side: DataFrame, join: str) -> DataFrame:
