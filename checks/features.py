@@ -336,7 +336,8 @@ _GRAIN_KEYS = ("store_id", "dow", "area_name", "genre_name", "month")
 
 
 def grain_sql(name, keys):
-    shown = ", ".join(k if k in keys else f"NULL AS {k}" for k in _GRAIN_KEYS)
+    absent = {"dow": "-1", "month": "-1"}  # numbers stay integers on either side
+    shown = ", ".join(k if k in keys else f"{absent.get(k, 'NULL')} AS {k}" for k in _GRAIN_KEYS)
     source = _PARTS if "store_id" in keys else _PLACED
     return f"SELECT '{name}' AS grain, {shown}, * EXCLUDE ({', '.join(keys)}) FROM ({profile_sql(', '.join(keys), source)})"
 
@@ -344,7 +345,7 @@ def grain_sql(name, keys):
 @query("a3_a6_profiles_one_scan", " UNION ALL BY NAME ".join(grain_sql(n, ks) for n, ks in GRAINS.items()))
 def _(t):
     merged = profiles.profiles_at(profiles.date_parts(t.visits()), GRAINS, side=t.stores())
-    return merged.withColumn("mean_visitors", F.round("mean_visitors", 6))
+    return merged.fillna(-1, ["dow", "month"]).withColumn("mean_visitors", F.round("mean_visitors", 6))
 
 
 @query(
