@@ -68,6 +68,27 @@ def test_no_python_in_the_plan_and_empty_table(empty):
 
 
 def test_length_alone_breaks_no_rule(spark):
-    m = {"n_words": 2_000_000, "mean_word_chars": 5.0, "symbol_ratio": 0.0, "stop_ratio": 0.3, "dup_line_ratio": 0.0, "ellipsis_line_ratio": 0.0, "bullet_line_ratio": 0.0}
+    m = {"n_words": 2_000_000, "mean_word_chars": 5.0, "symbol_ratio": 0.0, "stop_ratio": 0.3, "foreign_ratio": 0.0, "dup_line_ratio": 0.0, "ellipsis_line_ratio": 0.0, "bullet_line_ratio": 0.0}
     row = spark.createDataFrame([m]).withColumn("m", F.struct("*"))
     assert row.select(quality.broken(F.col("m")).alias("b")).first()["b"] == []
+
+
+def test_prose_of_other_languages_and_scripts_stays(docs):
+    numbers = [f"{i}" for i in range(60)]
+    prose = {
+        "ru": "сегодня утром {} мы пошли вдоль реки и увидели старый мост",
+        "el": "σήμερα το πρωί {} περπατήσαμε δίπλα στο ποτάμι",
+        "hi": "आज सुबह {} हम नदी के किनारे चले",
+        "zh": "今天早上第{}次我们沿着河边走到那座古老的大桥旁边看风景 ",
+        "pl": "dzisiaj rano {} nie poszliśmy na spacer, który jest długi",
+        "tr": "bu sabah {} nehir boyunca bir yürüyüş ve gezinti yaptık",
+        "fi": "tänään aamulla {} joki oli kaunis ja silta ei näkynyt",
+        "it": "questa mattina {} il fiume non era lontano e per fortuna",
+    }
+    # A number after every second word keeps the windows of three words from repeating.
+    numbered = lambda line, n: " ".join(w + (f" {n}" if i % 2 else "") for i, w in enumerate(line.format(n).split()))
+    texts = [" ".join(numbered(line, n) for n in numbers) for line in prose.values()]
+    junk = " ".join(f"qzx{i} vbn{i} wrt{i}" for i in range(60))
+    rows = {r["doc_id"]: (list(r["broken"]), r["kept"]) for r in quality.quality(docs([*texts, junk, "# " * 200])).collect()}
+    assert all(rows[i] == ([], True) for i in range(len(texts))), rows
+    assert rows[len(texts)] == (["stop_words"], False) and not rows[len(texts) + 1][1]

@@ -1,5 +1,10 @@
+import math
+import random
 import zlib
 
+import duckdb
+import pytest
+
 from venueflow.llm import licenses, toxicity
 from llm_fixtures import docs, empty  # noqa: F401
 
@@ -47,6 +52,63 @@ def test_license_texts_in_other_dress(docs, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_sql_knows_what_the_operator_knows(docs):
+    heads = ("Copyright The X Authors", "Copyright the Y team. All rights reserved.\r", "Copyright: 2020 X", "(c)2020 X", "(c) Some One", "(c) you may", "Copyright law", "copyright by X", "(c) you (c) x")
+    texts = [text for _, _, text in licenses.known()] + [f"{head}\n\n{licenses.LICENSES['MIT']}" for head in heads] + [None, "", "Licensed under the MIT license\r\nx"]
+    table = docs(texts)
+    got = sorted((r["doc_id"], r["digest"], r["license"], r["notices"]) for r in licenses.scan(table).collect())
+    con = duckdb.connect()
+    con.register("documents", table.select("doc_id", "text").toPandas())
+    want = con.execute(f"SELECT doc_id, digest, license, notices FROM ({licenses.sql()}) ORDER BY doc_id").fetchall()
+    assert got == [(i, d, n, s) for i, d, n, s in want]
+    assert sum(r[2] is not None for r in got) >= len(licenses.known()) - sum(len(t) for t in licenses.NOTICES.values())
+
+
+def plain_weigh(folded, weights, exceptions):
+    """Every term and exception found by looking at every place of the text."""
+    line = f" {folded} "
+    places = lambda t: [(i, i + len(t)) for i in range(len(line)) if line.startswith(t, i)]
+    spared = [p for e in exceptions for p in places(f" {toxicity.fold(e)} ")]
+    best = {}
+    for term, weight in weights.items():
+        for a, b in places(term):
+            # A word's own blanks may lie outside the phrase that spares it.
+            if not any(s <= a and b <= e for s, e in spared):
+                best[a] = max(weight, best.get(a, 0.0))
+    return sum(best.values()), len(folded.split())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_matching_against_a_plain_scan(seed):
+    rng = random.Random(seed)
+    vocabulary = ["trash", "can", "bag", "clown", "fish", "clownfish", "idiot", "idiotic", "proof", "pond", "scum", "a", "nice"]
+    folded = [toxicity.fold(w) for w in vocabulary]
+    terms = {f" {w[:n]}" for w in folded for n in range(3, 6) if len(w) >= n} | {f" {w} " for w in folded}
+    weights = {t: float(rng.randint(1, 9)) for t in rng.sample(sorted(terms), 12)}
+    lexicon = toxicity.Lexicon(weights)
+    automaton = lexicon.automaton()
+    for _ in range(300):
+        text = toxicity.fold(" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 12))))
+        assert toxicity.weigh(text, automaton) == plain_weigh(text, weights, lexicon.exceptions), text
+
+
+def test_learned_weights_against_plain_counts(spark):
+    rng = random.Random(5)
+    clean = [" ".join(rng.choices(["river", "walk", "table", "green", "music"], k=12)) for _ in range(200)]
+    toxic = [f"{rng.choice(['gorblax', 'fnurp'])} {t} snavvle" for t in clean[:100]]
+    clean += ["snavvle walk"]
+    rows = [(1, t) for t in toxic] + [(0, t) for t in clean]
+    lexicon = toxicity.learn(spark.createDataFrame(rows, "toxic int, text string").distinct())
+    bad, good = {toxicity.fold(t) for t in toxic}, {toxicity.fold(t) for t in clean}
+    assert lexicon.weights
+    for term, weight in lexicon.weights.items():
+        count = lambda texts: sum(term in f" {t} " for t in texts)
+        odds = math.log((count(bad) + 0.5) / (len(bad) + 1)) - math.log((count(good) + 0.5) / (len(good) + 1))
+        assert weight == pytest.approx(odds) and weight >= toxicity.MIN_WEIGHT
+    held = lambda word: any(f" {toxicity.fold(word)} ".startswith(t) for t in lexicon.weights)
+    assert held("gorblax") and held("fnurp") and held("snavvle") and not held("river") and not held("music")
+
+
 def test_whole_texts_of_common_licenses_and_of_a_table(spark, docs):
     whole = {(name, text) for kind, name, text in licenses.known() if kind == "license"}
     named = ("BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")

@@ -17,7 +17,6 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SQL_COPYRIGHT_LINE = r"^[\x20\x09*#/;-]*(copyright[\x20\x09]+(\(c\)|©|[0-9]{4}|\[|<|by)|\(c\)[\x20\x09]|©|all rights reserved)"  # of the SQL row
 COPYRIGHT_LINE = (
     r"^[\x20\x09*#/;-]*(copyright[\x20\x09]*(\(c\)|©|[0-9]{4}|\[|<|:)|copyright[\x20\x09]+by|\(c\)[0-9]{4}|\(c\)[\x20\x09](?!you[\x20\x09])|©|all rights reserved"
     r"|copyright[\x20\x09]+the[\x20\x09][^,;:]*[\x20\x09](authors|contributors|developers|project|team|foundation)\b[\x20\x09.]*(all rights reserved\.?)?[\x20\x09]*$)"
@@ -123,11 +122,6 @@ def _untitled(texts: dict[str, str]) -> list[tuple[str, str, str]]:
     return rows
 
 
-def _sql_known() -> list[tuple[str, str, str]]:
-    """(kind, license, text) known to the SQL row."""
-    return [("notice", name, text) for name, texts in NOTICES.items() for text in texts] + _untitled(LICENSES)
-
-
 def known() -> list[tuple[str, str, str]]:
     """(kind, license, text) of everything known; licenses with and without their title line."""
     folder = Path(__file__).parent / "license_texts"
@@ -138,7 +132,8 @@ def known() -> list[tuple[str, str, str]]:
         terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
         if end:  # often given without the advice on how to apply them
             files.append(("license", name, terms + end))
-    return _sql_known() + _untitled(BSD) + files
+    notices = [("notice", name, text) for name, texts in NOTICES.items() for text in texts]
+    return notices + _untitled(LICENSES) + _untitled(BSD) + files
 
 
 def canonical(text: Column) -> Column:
@@ -191,13 +186,24 @@ def sql() -> str:
     def q(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
+    # DuckDB has no lookahead: "(c) you" is stated as a second pattern, and lines that match both are
+    # copyright lines only if the rest of the rule takes them.
+    you = r"\(c\)[\x20\x09](?!you[\x20\x09])"
+    plain, rest = COPYRIGHT_LINE.replace(you, r"\(c\)[\x20\x09]"), COPYRIGHT_LINE.replace(you + "|", "")
+    # Java's "$" also matches before a last carriage return.
+    plain, rest = (x.replace("$)", r"\r?$)") for x in (plain, rest))
+    spared = r"^[\x20\x09*#/;-]*\(c\)[\x20\x09]you[\x20\x09]"
+
+    def dropped(line: str) -> str:
+        return f"(regexp_matches({line}, {q(plain)}) AND (NOT regexp_matches({line}, {q(spared)}) OR regexp_matches({line}, {q(rest)})))"
+
     def norm(expr: str) -> str:
-        out = f"array_to_string(list_filter(string_split(lower(coalesce({expr}, '')), chr(10)), lambda l: NOT regexp_matches(l, {q(SQL_COPYRIGHT_LINE)})), ' ')"
+        out = f"array_to_string(list_filter(string_split(lower(coalesce({expr}, '')), chr(10)), lambda l: NOT {dropped('l')}), ' ')"
         for old, new in SPELLINGS:
             out = f"replace({out}, {q(old)}, {q(new)})"
         return f"sha256(trim(regexp_replace({out}, '[^a-z0-9]+', ' ', 'g')))"
 
-    values = ", ".join(f"({q(kind)}, {q(name)}, {q(text)})" for kind, name, text in _sql_known())
+    values = ", ".join(f"({q(kind)}, {q(name)}, {q(text)})" for kind, name, text in known())
     return f"""
     WITH k AS (SELECT DISTINCT kind, name, {norm("body")} AS digest FROM (VALUES {values}) AS v(kind, name, body)),
     d AS (SELECT doc_id, text, {norm("text")} AS digest FROM documents),

@@ -30,29 +30,39 @@ STOP_WORDS = (
     "der", "die", "das", "und", "ein", "eine", "den", "von", "zu", "mit", "sich", "des", "auf", "ist", "im", "nicht",
     "le", "la", "les", "de", "des", "un", "une", "et", "en", "du", "que", "qui", "par", "pour", "sur", "avec",
     "el", "los", "las", "y", "se", "del", "por", "con", "su", "para", "al", "lo",
+    "il", "di", "che", "è", "per", "non", "della", "sono", "os", "um", "uma", "não", "com", "dos", "mais",
+    "het", "een", "van", "voor", "niet", "zijn", "och", "att", "det", "som", "på", "för", "är", "og", "til", "av", "af", "ikke",
+    "nie", "się", "jest", "na", "że", "je", "jsou", "které", "ja", "ei", "oli", "että", "az", "és", "egy", "nem", "hogy",
+    "și", "să", "este", "nu", "bir", "ve", "bu", "için", "yang", "dan", "dengan", "untuk", "ini", "và", "là", "của", "không",
 )
+LATIN_LETTERS = 0x24F  # last code point of the Latin blocks
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``measure`` must lie in [low, high]; a missing bound does not bind."""
+    """``measure`` must lie in [low, high]; a missing bound does not bind.
+
+    A ``latin`` rule binds only texts of which no more than half is letters of other scripts.
+    """
 
     name: str
     measure: str
     low: float | None = None
     high: float | None = None
+    latin: bool = False
 
 
 RULES = (
-    Rule("word_length", "mean_word_chars", low=2.0, high=12.0),
+    Rule("word_length", "mean_word_chars", low=2.0, high=12.0, latin=True),
     Rule("symbols", "symbol_ratio", high=0.1),
-    Rule("stop_words", "stop_ratio", low=0.01),
+    Rule("stop_words", "stop_ratio", low=0.01, latin=True),
     Rule("repeated_lines", "dup_line_ratio", high=0.4),
     Rule("ellipsis_lines", "ellipsis_line_ratio", high=0.3),
     Rule("bullet_lines", "bullet_line_ratio", high=0.9),
 )
-# The SQL row also bounds the length.
-SQL_RULES = (Rule("too_long", "n_words", high=1_000_000), *RULES)
+
+# Everything but letters and marks of scripts other than Latin.
+OTHER_THAN_FOREIGN = rf"[\x00-\x{{{LATIN_LETTERS:X}}}]+|[^\p{{L}}\p{{M}}]+"
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -99,6 +109,7 @@ def measured(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
             F.length(F.translate(body, BLANKS, "")).cast("long").alias("word_chars"),
             (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+            F.length(F.regexp_replace(body, OTHER_THAN_FOREIGN, "")).cast("long").alias("n_foreign"),
             repeated_words(w).cast("long").alias("n_repeat_words"),
             F.size(lines).cast("long").alias("n_lines"),
             F.size(F.filter(w, lambda x: F.lower(x).isin(*dict.fromkeys(STOP_WORDS)))).cast("long").alias("n_stop"),
@@ -108,9 +119,10 @@ def measured(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
     def ratios(c: Column) -> Column:
         return F.struct(
-            *[c[n].alias(n) for n in (*COUNTS, "n_lines", "n_stop", "n_ellipsis", "n_bullet")],
+            *[c[n].alias(n) for n in (*COUNTS, "n_lines", "n_stop", "n_ellipsis", "n_bullet", "n_foreign")],
             _ratio(c["word_chars"], c["n_words"]).alias("mean_word_chars"),
             _ratio(c["n_symbols"], c["n_words"]).alias("symbol_ratio"),
+            _ratio(c["n_foreign"], c["word_chars"]).alias("foreign_ratio"),
             _ratio(c["n_stop"], c["n_words"]).alias("stop_ratio"),
             _ratio(c["n_dup_lines"], c["n_lines"]).alias("dup_line_ratio"),
             _ratio(c["n_ellipsis"], c["n_lines"]).alias("ellipsis_line_ratio"),
@@ -129,7 +141,7 @@ def measured(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 MEASURES = (
-    *COUNTS, "n_lines", "n_stop", "n_ellipsis", "n_bullet",
+    *COUNTS, "n_lines", "n_stop", "n_ellipsis", "n_bullet", "n_foreign", "foreign_ratio",
     "mean_word_chars", "symbol_ratio", "stop_ratio", "dup_line_ratio", "ellipsis_line_ratio", "bullet_line_ratio",
 )
 
@@ -138,10 +150,11 @@ def broken(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """Names of the rules that the measures ``m`` break, in table order."""
     checks = []
     for r in rules:
+        binds = m["foreign_ratio"] <= 0.5 if r.latin else F.lit(True)
         if r.low is not None:
-            checks.append(F.when(m[r.measure] < r.low, F.lit(r.name)))
+            checks.append(F.when(binds & (m[r.measure] < r.low), F.lit(r.name)))
         if r.high is not None:
-            checks.append(F.when(m[r.measure] > r.high, F.lit(r.name)))
+            checks.append(F.when(binds & (m[r.measure] > r.high), F.lit(r.name)))
     return F.array_distinct(F.array_compact(F.array(*checks))) if checks else F.array().cast("array<string>")
 
 
@@ -155,11 +168,12 @@ def filter_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...]
     return docs.filter(measured(docs[text], rules)["kept"])
 
 
-def sql(rules: tuple[Rule, ...] = SQL_RULES) -> str:
+def sql(rules: tuple[Rule, ...] = RULES) -> str:
     """The same counts and verdict for DuckDB, generated from the same table."""
     stops = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
-    bounds = [f"{r.measure} >= {r.low}" for r in rules if r.low is not None]
-    bounds += [f"{r.measure} <= {r.high}" for r in rules if r.high is not None]
+    free = lambda r: "foreign_ratio > 0.5 OR " if r.latin else ""
+    bounds = [f"({free(r)}{r.measure} >= {r.low})" for r in rules if r.low is not None]
+    bounds += [f"({free(r)}{r.measure} <= {r.high})" for r in rules if r.high is not None]
     return rf"""
     WITH t AS (
       SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS body,
@@ -174,6 +188,7 @@ def sql(rules: tuple[Rule, ...] = SQL_RULES) -> str:
       SELECT t.rid, doc_id, CAST(len(w) AS BIGINT) AS n_words,
              CAST(length(regexp_replace(body, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
              CAST(length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             length(regexp_replace(body, '{OTHER_THAN_FOREIGN}', '', 'g')) AS n_foreign,
              CAST(len(lines) AS BIGINT) AS n_lines,
              CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
              len(list_filter(w, lambda x: lower(x) IN ({stops}))) AS n_stop,
@@ -184,6 +199,7 @@ def sql(rules: tuple[Rule, ...] = SQL_RULES) -> str:
     m AS (
       SELECT *, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0.0 END AS mean_word_chars,
              CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0.0 END AS symbol_ratio,
+             CASE WHEN word_chars > 0 THEN n_foreign / word_chars ELSE 0.0 END AS foreign_ratio,
              CASE WHEN n_words > 0 THEN n_stop / n_words ELSE 0.0 END AS stop_ratio,
              CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END AS dup_line_ratio,
              CASE WHEN n_lines > 0 THEN n_ellipsis / n_lines ELSE 0.0 END AS ellipsis_line_ratio,
