@@ -106,3 +106,30 @@ def test_repeated_ids_are_listed_once(spark):
         got.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
     assert {q: [i for _, i in found] for q, found in got.items()} == {q: [i for _, i in found] for q, found in want.items()}
     assert all(np.allclose([s for s, _ in got[q]], [s for s, _ in want[q]]) for q in want)
+
+
+@pytest.mark.parametrize("shard", [4096, 16])
+def test_doubles_keep_their_digits_and_range(spark, monkeypatch, shard):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", shard)
+    rows = [(0, [1.0, 0.0])] + [(i, [1 + i * 1e-12, 0.0]) for i in range(1, 50)] + [(50, [1e200, 0.0]), (51, [1e-200, 1.0])]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).filter("query_id = 0").orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [50, *range(49, 30, -1)]
+    assert [r["score"] for r in got] == [1e200] + [1 + i * 1e-12 for i in range(49, 30, -1)]
+
+
+def test_recall_on_clusters_over_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 1000)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 64)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 32))[rng.integers(0, 60, 5000)] * rng.uniform(0.5, 2, size=(5000, 1)) + 0.1 * rng.normal(size=(5000, 32))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    x = x.astype(np.float32).astype(float)
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, SCHEMA)).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in got:
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-score, kind="stable")[:20].tolist()))
+    assert len(got) == 250 and hits / (20 * len(got)) >= 0.9

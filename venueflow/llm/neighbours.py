@@ -56,7 +56,7 @@ def usable(vector) -> F.Column:
 def _matrix(column) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return np.asarray(column.flatten(), dtype=np.float32).reshape(len(column), -1)
+    return np.asarray(column.flatten()).reshape(len(column), -1)
 
 
 def random_links(n: int, seed: int) -> np.ndarray:
@@ -77,10 +77,10 @@ def _start(group: pa.Table) -> pa.Table:
 def _graph(group: pa.Table, links: np.ndarray, changed: np.ndarray) -> pa.Table:
     rows = pa.array([[x for x in r if x >= 0] for r in links.tolist()], pa.list_(pa.int32()))
     return pa.table({"shard": group.column("shard"), "at": pa.array(np.arange(group.num_rows), pa.int32()), "node": group.column("node"),
-                     "vector": group.column("vector").cast(pa.list_(pa.float32())), "links": rows, "changed": pa.array(changed, pa.int32())})
+                     "vector": group.column("vector"), "links": rows, "changed": pa.array(changed, pa.int32())})
 
 
-GRAPH = "shard long, at int, node long, vector array<float>, links array<int>, changed int"
+GRAPH = "shard long, at int, node long, vector array<{}>, links array<int>, changed int"
 
 
 def _improve(nodes: pa.Table, offers: pa.Table) -> pa.Table:
@@ -110,14 +110,15 @@ def _improve(nodes: pa.Table, offers: pa.Table) -> pa.Table:
 
 def build_graph(nodes: DataFrame) -> DataFrame:
     """GRAPH rows of ``nodes(shard, node, vector)``."""
-    graph = materialize(nodes.groupBy("shard").applyInArrow(_start, GRAPH), "ann-graph-0")
+    schema = GRAPH.format(nodes.schema["vector"].dataType.elementType.simpleString())
+    graph = materialize(nodes.groupBy("shard").applyInArrow(_start, schema), "ann-graph-0")
     total = graph.count()
     for i in range(ROUNDS):
         out = graph.select("shard", "at", F.explode("links").alias("via"))
         both = out.union(out.select("shard", F.col("via").alias("at"), F.col("at").alias("via")))
         near = graph.select("shard", F.col("at").alias("via"), F.col("links").alias("offered"))
         offers = both.join(near, ["shard", "via"]).select(F.col("shard").alias("to_shard"), F.col("at").alias("to"), "offered")
-        graph = materialize(graph.groupBy("shard").cogroup(offers.groupBy("to_shard")).applyInArrow(_improve, GRAPH), f"ann-graph-{i + 1}")
+        graph = materialize(graph.groupBy("shard").cogroup(offers.groupBy("to_shard")).applyInArrow(_improve, schema), f"ann-graph-{i + 1}")
         if graph.agg(F.coalesce(F.sum("changed"), F.lit(0))).first()[0] <= STILL * K * total:
             break
     return graph
@@ -160,7 +161,7 @@ def greedy(x: np.ndarray, table: np.ndarray, q: np.ndarray, beam: int, starts: n
     extra = (own >= 0) & ~seen[np.arange(m), np.maximum(own, 0)]
     seen[extra, own[extra]] = True
     ids = np.hstack((np.broadcast_to(starts, (m, len(starts))), np.where(extra, own, -1)[:, None], np.full((m, beam), -1)))
-    score = np.full(ids.shape, -np.inf, dtype=np.float32)
+    score = np.full(ids.shape, -np.inf, dtype=x.dtype)
     score[:, : len(starts)] = q @ x[starts].T
     score[extra, len(starts)] = np.einsum("ij,ij->i", q[extra], x[own[extra]])
     order = np.argsort(-score, axis=1, kind="stable")[:, :beam]
@@ -188,7 +189,7 @@ def greedy(x: np.ndarray, table: np.ndarray, q: np.ndarray, beam: int, starts: n
         most = int(np.bincount(r, minlength=m).max()) if len(r) else 0
         if most:
             place = np.arange(len(r)) - np.searchsorted(r, r)
-            new_ids, new_score = np.full((m, most), -1, dtype=np.int64), np.full((m, most), -np.inf, dtype=np.float32)
+            new_ids, new_score = np.full((m, most), -1, dtype=np.int64), np.full((m, most), -np.inf, dtype=x.dtype)
             new_ids[r, place], new_score[r, place] = c, s
             ids, score = np.hstack((ids, new_ids)), np.hstack((score, new_score))
             done = np.hstack((done, new_ids < 0))
@@ -264,7 +265,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec
 
     Nearness is the largest inner product, in double precision; ties go to the smaller id.
     """
-    rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[vector].cast("array<float>").alias("vector"))
+    # Floats stay floats; all other numbers are searched and scored as doubles.
+    kind = "float" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[vector].cast(f"array<{kind}>").alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     size = rows.agg(F.mode(F.size("vector"), True)).first()[0]
     rows = rows.filter(F.size("vector") == F.lit(size if size is not None else 0)).distinct()
