@@ -133,3 +133,58 @@ def test_recall_on_clusters_over_several_shards(spark, monkeypatch):
         score[q] = -np.inf
         hits += len(got[q] & set(np.argsort(-score, kind="stable")[:20].tolist()))
     assert len(got) == 250 and hits / (20 * len(got)) >= 0.9
+
+
+def _recall(spark, x, monkeypatch, shard, visit_rows):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", shard)
+    sent = []
+    with_visits = neighbours._with_visits
+    monkeypatch.setattr(neighbours, "_with_visits", lambda q, p, held, most: sent.append((held, with_visits(q, p, held, most))) or sent[-1][1])
+    got = {}
+    found = neighbours.nearest(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA), visit_rows=visit_rows)
+    for r in found.collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    held, visits = sent[0]
+    rows = {}
+    for r in visits.select("query", "cell").collect():
+        rows[r["query"]] = rows.get(r["query"], 0) + int(held[r["cell"]])
+    hits = 0
+    x = x.astype(np.float32).astype(float)
+    for q in got:
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-score, kind="stable")[:20].tolist()))
+    assert len(got) == len(x) // 20 and held.sum() == len(x)
+    return hits / (20 * len(got)), max(rows.values()) - held.max()
+
+
+def test_recall_where_clusters_are_visited_in_part(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(80, 32))[rng.integers(0, 80, 8000)] + 0.3 * rng.normal(size=(8000, 32))
+    recall, most = _recall(spark, x, monkeypatch, 250, 1000)
+    assert recall >= 0.9 and most < 1000
+
+
+def test_recall_where_vectors_without_structure_are_visited_in_part(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(8000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    recall, most = _recall(spark, x, monkeypatch, 250, 3000)
+    assert recall >= 0.9 and most < 3000
+
+
+def test_a_crowd_is_cut_into_shards_that_are_all_visited(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    x = np.concatenate((1 + 1e-4 * rng.normal(size=(1200, 8)), rng.normal(size=(800, 8))))
+    monkeypatch.setattr(neighbours, "SAMPLE_PER_CELL", 500)
+    recall, most = _recall(spark, x, monkeypatch, 100, 1200)
+    assert recall >= 0.9 and most < 1200
+
+
+def test_pivots_whatever_the_numbers():
+    x = np.concatenate((np.full((40, 3), 1e300), np.full((40, 3), -1e-300), np.zeros((1, 3))))
+    pivots = neighbours.Pivots(x, 8)
+    cells = pivots.cells(x)
+    assert cells.min() >= 0 and cells.max() < len(pivots.pivots) and len(np.unique(cells)) >= 2
+    held = np.bincount(cells, minlength=len(pivots.pivots))
+    assert all(held[v].sum() == 81 for v in pivots.visits(x[:41], held, 1000))

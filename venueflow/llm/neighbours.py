@@ -1,14 +1,21 @@
 """Approximate nearest neighbours by inner product: NN-descent graphs and greedy graph search.
 
-Distinct vectors are dealt by hash into shards of about ``SHARD_ROWS``, small enough for a task. In
-each shard a neighbour graph grows from random links: Spark joins every node's neighbours (both
-ways) with their neighbours, and the task that holds the shard's vectors keeps the K nearest of
-what it was offered. Rounds end after ``ROUNDS``, or when few links still change. A query walks
-every shard's graph greedily, keeping a beam of the best nodes found and expanding the best not yet
-expanded. It starts from its own node, where the shard has it, and from a set of nodes that every
-node is in or linked to, so no cluster is out of reach. Queries are dealt by hash into blocks of about
-``QUERY_ROWS``, and a task holds one shard and one block. The shards' answers are merged by score.
-Rows are indexed all; nothing is sampled.
+Distinct vectors are dealt to the nearest of some pivots, about one pivot to ``SHARD_ROWS`` of them; a
+cell that holds more is cut by hash, so a shard stays small enough for a task. In each shard a
+neighbour graph grows from random links: Spark joins every node's neighbours (both ways) with their
+neighbours, and the task that holds the shard's vectors keeps the K nearest of what it was offered.
+Rounds end after ``ROUNDS``, or when few links still change. A query visits the cells where it expects
+the largest products, best first, until they hold ``VISIT_ROWS`` vectors, so its work does not grow
+with the table; a table of at most that many is visited whole. In a shard it walks the graph greedily,
+keeping a beam of the best nodes found and expanding the best not yet expanded. It starts from its own
+node, where the shard has it, and from a set of nodes that every node is in or linked to, so no
+cluster is out of reach. The queries of a shard are dealt by hash into blocks of about ``QUERY_ROWS``,
+and a task holds one shard and one block. The shards' answers are merged by score.
+
+Only the pivots come from a sample, of at most about ``SAMPLE_VALUES`` numbers taken by hash on the
+driver; every row is indexed. The sample bounds the pivots to ``SAMPLE_VALUES / SAMPLE_PER_CELL``
+numbers (16 MB), which at 64 dimensions is 31,250 cells or 128 million vectors; in larger tables a cell
+has more shards, all of which are visited with it.
 
 Equal vectors are indexed once; a query's answer lists their ids again, smallest first. No answer
 needs more than k + 1 ids of one vector, and the rank filter that keeps these runs before the
@@ -38,6 +45,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARD_ROWS = 4096
 QUERY_ROWS = 4096  # queries that meet a shard in one task
+VISIT_ROWS = 262_144  # vectors in the cells that a query visits
+SAMPLE_VALUES = 16_000_000  # numbers in the sample that fits the pivots
+SAMPLE_PER_CELL = 8
+PIVOT_ROUNDS = 4
+REACH = 2.5  # how many deviations beyond its pivot a cell is expected to reach
+SEED = 17
+PIVOT_BLOCK = 512
 K = 16  # links of a node
 ROUNDS = 8
 STILL = 0.02  # share of links that may still change when the rounds end
@@ -59,6 +73,110 @@ def _matrix(column) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), -1)
 
 
+def _gaps(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Squared distances less the rows' own squared lengths; what overflows counts as far."""
+    return np.nan_to_num((pivots * pivots).sum(axis=1) - 2 * (x @ pivots.T), nan=np.inf, posinf=np.inf, neginf=-np.inf)
+
+
+def _nearest_pivot(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    parts = [_gaps(x[i : i + PIVOT_BLOCK], pivots).argmin(axis=1) for i in range(0, len(x), PIVOT_BLOCK)]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+
+
+def _centres(x: np.ndarray, n: int) -> np.ndarray:
+    """``n`` pivots of the rows: some of them at first, then means of the rows nearest to each."""
+    pivots = x[np.random.default_rng(SEED).permutation(len(x))[:n]].copy()
+    for _ in range(PIVOT_ROUNDS if len(pivots) > 1 else 0):
+        at = _nearest_pivot(x, pivots)
+        held = np.bincount(at, minlength=len(pivots))
+        sums = np.zeros_like(pivots)
+        np.add.at(sums, at, x)
+        pivots[held > 0] = sums[held > 0] / held[held > 0, None]
+    return pivots
+
+
+class Pivots:
+    """Pivots of two levels, fitted on sampled rows; a cell belongs to a pivot of the second level."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        cells = max(1, min(cells, len(sample) // SAMPLE_PER_CELL))
+        self.scale = float(np.abs(sample).max()) if cells > 1 else 1.0
+        x = sample / self.scale
+        self.top = _centres(x, math.ceil(math.sqrt(cells))) if cells > 1 else np.zeros((1, sample.shape[1]))
+        at = _nearest_pivot(x, self.top)
+        each = np.maximum(1, np.round(cells * np.bincount(at, minlength=len(self.top)) / max(1, len(x)))).astype(int) if cells > 1 else [1]
+        below = [_centres(x[at == i], n) if (at == i).any() else self.top[i : i + 1] for i, n in enumerate(each)]
+        self.first = np.cumsum([0, *[len(b) for b in below]])
+        self.pivots = np.concatenate(below)
+        self.spread = np.zeros(len(self.pivots))
+        if cells > 1:
+            cell = self.cells(sample)
+            gap = ((x - self.pivots[cell]) ** 2).mean(axis=1)
+            held = np.bincount(cell, minlength=len(self.pivots))
+            self.spread = np.sqrt(np.bincount(cell, gap, len(self.pivots)) / np.maximum(held, 1))
+
+    def cells(self, x: np.ndarray) -> np.ndarray:
+        """The cell of each row."""
+        if len(self.pivots) == 1:
+            return np.zeros(len(x), dtype=np.int64)
+        with np.errstate(all="ignore"):
+            x = x / self.scale
+            out = _nearest_pivot(x, self.top)
+            for i in np.unique(out):
+                rows = np.flatnonzero(out == i)
+                out[rows] = -1 - self.first[i] - _nearest_pivot(x[rows], self.pivots[self.first[i] : self.first[i + 1]])
+        return -1 - out
+
+    def visits(self, q: np.ndarray, held: np.ndarray, most: int) -> list[np.ndarray]:
+        """Per query the cells of largest expected products, until they hold ``most`` rows; empty cells are left out."""
+        some = np.flatnonzero(held)
+        if len(some) == 1:
+            return [some] * len(q)
+        out = []
+        for i in range(0, len(q), PIVOT_BLOCK):
+            block = q[i : i + PIVOT_BLOCK].astype(np.float64)
+            with np.errstate(all="ignore"):
+                block = block / np.abs(block).max(axis=1, keepdims=True)
+                length = np.sqrt((block * block).sum(axis=1, keepdims=True))
+                order = np.argsort(-(block @ self.pivots[some].T + REACH * length * self.spread[some]), axis=1, kind="stable")
+            before = np.cumsum(held[some][order], axis=1) - held[some][order]
+            out += [some[o[b < most]] for o, b in zip(order, before)]
+        return out
+
+
+def fit_pivots(nodes: DataFrame, rows: int) -> Pivots:
+    """Pivots of ``nodes(vector)``; the sample is the rows of least hash, in expectation ``SAMPLE_VALUES`` numbers at most."""
+    if rows <= SHARD_ROWS:
+        return Pivots(np.zeros((0, 1)), 1)
+    want = max(1, SAMPLE_VALUES // len(nodes.first()["vector"]))
+    key = F.xxhash64("vector", F.lit(SEED))
+    some = nodes.filter(F.pmod(key, F.lit(math.ceil(rows / want))) == 0).select("vector", key.alias("key")).limit(2 * want).toArrow()
+    return Pivots(_matrix(some.sort_by("key").column("vector")).astype(np.float64), math.ceil(rows / SHARD_ROWS))
+
+
+def _with_cells(nodes: DataFrame, pivots: Pivots) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            cell = pivots.cells(_matrix(b.column("vector")).astype(np.float64)) if b.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell, pa.int32())], names=[*b.schema.names, "cell"])
+
+    kind = nodes.schema["vector"].dataType.simpleString()
+    return nodes.select("node", "vector").mapInArrow(run, f"node long, vector {kind}, cell int")
+
+
+def _with_visits(queries: DataFrame, pivots: Pivots, held: np.ndarray, most: int) -> DataFrame:
+    """One row per query and visited cell."""
+
+    def run(batches):
+        for b in batches:
+            cells = pivots.visits(_matrix(b.column("vector")), held, most) if b.num_rows else []
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells, pa.list_(pa.int32()))], names=[*b.schema.names, "cells"])
+
+    kind = queries.schema["vector"].dataType.simpleString()
+    found = queries.select("query", "vector").mapInArrow(run, f"query long, vector {kind}, cells array<int>")
+    return found.select("query", "vector", F.explode("cells").alias("cell"))
+
+
 def random_links(n: int, seed: int) -> np.ndarray:
     """Up to K distinct other nodes for each of n nodes; -1 pads when there are fewer."""
     out = np.full((n, K), -1, dtype=np.int32)
@@ -260,10 +378,11 @@ def _search(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_id", vector: str = "embedding", visit_rows: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row whose id is divisible by ``every``.
 
-    Nearness is the largest inner product, in double precision; ties go to the smaller id.
+    Nearness is the largest inner product, in double precision; ties go to the smaller id. ``visit_rows``
+    (``VISIT_ROWS`` by default) is how many vectors the cells visited by a query hold: more raise recall and work.
     """
     # Floats stay floats; all other numbers are searched and scored as doubles.
     kind = "float" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "double"
@@ -277,19 +396,33 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec
     copies = copies.withColumn("row", F.monotonically_increasing_id()).withColumn("node", F.min("row").over(Window.partitionBy("vector")))
     copies = materialize(copies.drop("row"), "ann-copies")
     nodes = copies.filter("nth = 1").select("node", "vector")
-    shards = max(1, math.ceil(nodes.count() / SHARD_ROWS))
-    graph = build_graph(nodes.select(F.pmod(F.xxhash64("node"), F.lit(shards)).alias("shard"), "node", "vector"))
+    pivots = fit_pivots(nodes, nodes.count())
+    placed = materialize(_with_cells(nodes, pivots), "ann-cells")
+    # One row per pivot at most.
+    held = np.zeros(len(pivots.pivots), dtype=np.int64)
+    for r in placed.groupBy("cell").count().collect():
+        held[r["cell"]] = r["count"]
+    cuts = np.ceil(held / SHARD_ROWS).astype(np.int64)
+    shards = [(i, int(end - n), int(n)) for i, (end, n) in enumerate(zip(np.cumsum(cuts), cuts)) if n]
+    cells = F.broadcast(vectors.sparkSession.createDataFrame(shards, "cell int, base long, cuts long"))
+    shard = F.col("base") + F.pmod(F.xxhash64("vector"), F.col("cuts"))
+    graph = build_graph(placed.join(cells, "cell").select(shard.alias("shard"), "node", "vector"))
     # Queries of one vector are searched once, under the node of that vector.
     asked = rows.filter(F.col("vec_id") % every == 0)
     asked = materialize(asked.join(nodes, "vector").select(F.col("node").alias("query"), F.col("vec_id").alias("query_id")), "ann-queries")
     distinct = nodes.join(asked.select(F.col("query").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("query"), "vector")
     distinct = materialize(distinct, "ann-distinct")
-    blocks = max(1, math.ceil(distinct.count() / QUERY_ROWS))
-    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    # Every block of queries meets every shard; neither side of a task grows with the table.
-    sent = distinct.withColumn("to_block", F.pmod(F.xxhash64("query"), F.lit(blocks))).select(each(shards).alias("to_shard"), "to_block", "query", "vector")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    visited = _with_visits(distinct, pivots, held, visit_rows or VISIT_ROWS).join(cells, "cell")
+    visited = visited.select("base", each(F.col("cuts")).alias("cut"), "query", "vector")
+    visited = materialize(visited.select((F.col("base") + F.col("cut")).alias("to_shard"), "query", "vector"), "ann-visits")
+    # A shard and the queries that visit it meet in blocks; neither side of a task grows with the table.
+    blocks = visited.groupBy("to_shard").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("blocks"))
+    blocks = materialize(blocks, "ann-blocks")
+    sent = visited.join(blocks, "to_shard").withColumn("to_block", F.pmod(F.xxhash64("query"), F.col("blocks"))).drop("blocks")
     ids = copies.groupBy(F.col("node").alias("of")).agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    dealt = graph.join(ids, graph["node"] == ids["of"]).select(each(blocks).alias("block"), *[graph[c] for c in graph.columns], "ids")
+    dealt = graph.join(ids, graph["node"] == ids["of"]).join(blocks, F.col("shard") == F.col("to_shard"))
+    dealt = dealt.select(each(F.col("blocks")).alias("block"), *[graph[c] for c in graph.columns], "ids")
     tasks = dealt.groupBy("shard", "block").cogroup(sent.groupBy("to_shard", "to_block"))
     found = tasks.applyInArrow(_search(k), "query long, vec_id long, score double")
     listed = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
