@@ -10,7 +10,9 @@ with the table; a table of at most that many is visited whole. In a shard it wal
 keeping a beam of the best nodes found and expanding the best not yet expanded. It starts from its own
 node, where the shard has it, and from a set of nodes that every node is in or linked to, so no
 cluster is out of reach. The queries of a shard are dealt by hash into blocks of about ``QUERY_ROWS``,
-and a task holds one shard and one block. The shards' answers are merged by score.
+and a task holds one shard and one block. The best cell of a query is searched first; the others then
+answer only with what is no worse than the k + 1 ids found there, so answers do not grow with the cells
+visited. The shards' answers are merged by score.
 
 Only the pivots come from a sample, of at most about ``SAMPLE_VALUES`` numbers taken by hash on the
 driver; every row is indexed. The sample bounds the pivots to ``SAMPLE_VALUES / SAMPLE_PER_CELL``
@@ -165,7 +167,7 @@ def _with_cells(nodes: DataFrame, pivots: Pivots) -> DataFrame:
 
 
 def _with_visits(queries: DataFrame, pivots: Pivots, held: np.ndarray, most: int) -> DataFrame:
-    """One row per query and visited cell."""
+    """One row per query and visited cell, numbered from 0 in ``nth``."""
 
     def run(batches):
         for b in batches:
@@ -174,7 +176,7 @@ def _with_visits(queries: DataFrame, pivots: Pivots, held: np.ndarray, most: int
 
     kind = queries.schema["vector"].dataType.simpleString()
     found = queries.select("query", "vector").mapInArrow(run, f"query long, vector {kind}, cells array<int>")
-    return found.select("query", "vector", F.explode("cells").alias("cell"))
+    return found.select("query", "vector", F.posexplode("cells").alias("nth", "cell"))
 
 
 def random_links(n: int, seed: int) -> np.ndarray:
@@ -349,7 +351,7 @@ def _search(k: int):
         lists = graph.column("ids").combine_chunks()
         named, count = lists.flatten().to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False)
         first = np.cumsum(count) - count
-        q, who = _matrix(queries.column("vector")), queries.column("query").to_numpy()
+        q, who, least = _matrix(queries.column("vector")), queries.column("query").to_numpy(), queries.column("least").to_numpy()
         by_node = np.argsort(node)
         own = by_node[np.minimum(np.searchsorted(node, who, sorter=by_node), len(node) - 1)]
         own = np.where(node[own] == who, own, -1)
@@ -363,17 +365,18 @@ def _search(k: int):
             r, v, s = _best_ids(exact, ids, named, first, count, k + 1)
             few = np.bincount(r, minlength=len(block)) <= k
             if few.any() and len(x) > beam:
-                parts.append((who[i + r[~few[r]]], v[~few[r]], s[~few[r]]))
+                parts.append((i + r[~few[r]], v[~few[r]], s[~few[r]]))
                 few = np.flatnonzero(few)
                 step = max(1, WHOLE_IDS // len(named))
                 for some in (few[j : j + step] for j in range(0, len(few), step)):
                     exact = np.einsum("jk,ik->ij", wide, block[some].astype(np.float64))
                     r, v, s = _best_ids(exact, np.broadcast_to(np.arange(len(x)), exact.shape), named, first, count, k + 1)
-                    parts.append((who[i + some[r]], v, s))
+                    parts.append((i + some[r], v, s))
                 continue
-            parts.append((who[i + r], v, s))
+            parts.append((i + r, v, s))
         a, b, s = (np.concatenate(p) for p in zip(*parts))
-        return pa.table({"query": a, "vec_id": b, "score": s})
+        kept = s >= least[a]
+        return pa.table({"query": who[a[kept]], "vec_id": b[kept], "score": s[kept]})
 
     return run
 
@@ -414,21 +417,31 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec
     distinct = materialize(distinct, "ann-distinct")
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     visited = _with_visits(distinct, pivots, held, visit_rows or VISIT_ROWS).join(cells, "cell")
-    visited = visited.select("base", each(F.col("cuts")).alias("cut"), "query", "vector")
-    visited = materialize(visited.select((F.col("base") + F.col("cut")).alias("to_shard"), "query", "vector"), "ann-visits")
-    # A shard and the queries that visit it meet in blocks; neither side of a task grows with the table.
-    blocks = visited.groupBy("to_shard").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("blocks"))
-    blocks = materialize(blocks, "ann-blocks")
-    sent = visited.join(blocks, "to_shard").withColumn("to_block", F.pmod(F.xxhash64("query"), F.col("blocks"))).drop("blocks")
+    visited = visited.select("nth", "base", each(F.col("cuts")).alias("cut"), "query", "vector")
+    visited = materialize(visited.select("nth", (F.col("base") + F.col("cut")).alias("to_shard"), "query", "vector"), "ann-visits")
     ids = copies.groupBy(F.col("node").alias("of")).agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    dealt = graph.join(ids, graph["node"] == ids["of"]).join(blocks, F.col("shard") == F.col("to_shard"))
-    dealt = dealt.select(each(F.col("blocks")).alias("block"), *[graph[c] for c in graph.columns], "ids")
-    tasks = dealt.groupBy("shard", "block").cogroup(sent.groupBy("to_shard", "to_block"))
-    found = tasks.applyInArrow(_search(k), "query long, vec_id long, score double")
-    listed = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
+    named = materialize(graph.join(ids, graph["node"] == ids["of"]).select(*[graph[c] for c in graph.columns], "ids"), "ann-named")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    # One more than k, since the id that asks may be among them.
-    listed = listed.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
+
+    def ranked(found: DataFrame) -> DataFrame:
+        """The k + 1 best ids of a query, since the id that asks may be among them."""
+        listed = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
+        return listed.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).drop("place")
+
+    def meet(asking: DataFrame) -> DataFrame:
+        """A shard and the queries that visit it meet in blocks; neither side of a task grows with the table."""
+        blocks = materialize(asking.groupBy("to_shard").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("blocks")), "ann-blocks")
+        sent = asking.join(blocks, "to_shard").withColumn("to_block", F.pmod(F.xxhash64("query"), F.col("blocks"))).drop("blocks")
+        dealt = named.join(blocks, F.col("shard") == F.col("to_shard")).select(each(F.col("blocks")).alias("block"), *[named[c] for c in named.columns])
+        tasks = dealt.groupBy("shard", "block").cogroup(sent.groupBy("to_shard", "to_block"))
+        return tasks.applyInArrow(_search(k), "query long, vec_id long, score double")
+
+    columns = ["to_shard", "query", "vector", "least"]
+    nothing = F.lit(float("-inf"))
+    first = materialize(ranked(meet(visited.filter("nth = 0").withColumn("least", nothing).select(columns))), "ann-first")
+    least = first.groupBy("query").agg(F.when(F.count(F.lit(1)) > k, F.min("score")).otherwise(nothing).alias("least"))
+    rest = visited.filter("nth > 0").join(least, "query", "left").withColumn("least", F.coalesce("least", nothing))
+    listed = ranked(first.unionByName(meet(rest.select(columns))))
     answers = asked.join(listed.select("query", "vec_id", "score"), "query").filter("vec_id <> query_id")
     answers = answers.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
