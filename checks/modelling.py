@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.features import _DOW, _PAIRED, _PROFILE, TOKEN_SQL
+from checks.features import _DOW, _PAIRED, _PLACED, _PROFILE, TOKEN_SQL, profile_sql
 from checks.registry import query
 from venueflow.functions.columns import make_id
 from venueflow.operators import evaluate, models, select
@@ -58,8 +58,31 @@ LEFT JOIN profiles p USING (store_id, dow) LEFT JOIN bookings b USING (store_id,
 LEFT JOIN codes USING (store_id)"""
 
 
+_FAR_FILTER = "WHERE lead_days > isodow(visit_date) - 1"
+ALL_PAIRED = _PAIRED.replace(_FAR_FILTER, "")
+
+
+def grouped_sql(rows: str, join: str, keys: str) -> str:
+    """The frame with area and genre profiles per ``keys``; the profiles take the place names as text, the frame their codes."""
+    out = f"SELECT q.*, {', '.join(_group_columns('area_') + _group_columns('genre_'))} FROM ({frame_sql(rows, join)}) q"
+    out += f" LEFT JOIN (SELECT store_id, {_PLACE_CODES} FROM stores) pc USING (store_id)"
+    for prefix, name in (("area_", "area_code"), ("genre_", "genre_code")):
+        source = f"SELECT v.*, {name} FROM ({_PLACED}) v JOIN (SELECT store_id, {_PLACE_CODES} FROM stores) USING (store_id)"
+        grain = f"{name}, {keys}"
+        out += f" LEFT JOIN ({profile_sql(grain, source, prefix)}) {prefix}p USING ({grain})"
+    return out
+
+
+_PLACE_CODES = "area_name AS area_code, genre_name AS genre_code"
+
+
+def _group_columns(prefix: str) -> list[str]:
+    stats = [f"{x}_visitors" for x in ("min", "mean", "median", "max")] + ["count_observations"]
+    return [f"coalesce({prefix}p.{prefix}{c}, -1) AS {prefix}{c}" for c in stats]
+
+
 def neat(df):
-    scale = {c: 5 if c.startswith("total_reserv") else 6 for c in ROUND}
+    scale = {c: 5 if c.startswith("total_reserv") else 6 for c in (*ROUND, "area_mean_visitors", "genre_mean_visitors") if c in df.columns}
     return df.withColumns({c: F.round(c, s) for c, s in scale.items()})
 
 
@@ -73,6 +96,24 @@ def _(t):
     return neat(frames(t)[1])
 
 
+_VISITED = "SELECT store_id, visit_date, visitors FROM visits"
+
+
+@query("j5_train_frame_all_bookings", frame_sql(_VISITED, "").replace(_PAIRED, ALL_PAIRED))
+def _(t):
+    return neat(frames(t, far_only=False)[0])
+
+
+@query("j5_train_frame_weekday_groups", grouped_sql(_VISITED, "", "dow"))
+def _(t):
+    return neat(frames(t, grouped="weekday")[0])
+
+
+@query("j5_train_frame_month_groups", grouped_sql(_VISITED, "", "month, dow"))
+def _(t):
+    return neat(frames(t, grouped="month")[0])
+
+
 def train_frame(t, **options):
     """The train frame written once, so that iterative fitting reads finished rows."""
     train, test = frames(t, **options)
