@@ -3,6 +3,7 @@
 import hashlib
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -103,6 +104,61 @@ def test_tables_without_tokens(docs, empty):
     assert [r[1:] for r in found(docs([None, ""]))] == [(0, 0, 0, 0, 0, 0, "")] * 2
 
 
+class Counted:
+    """Side A with a count of the texts it is given."""
+
+    def __init__(self, a):
+        self.a, self.given = a, 0
+
+    def encode_batch_fast(self, texts, **named):
+        self.given += len(texts)
+        return self.a.encode_batch_fast(texts, **named)
+
+
+@pytest.fixture
+def aligner():
+    tokenizers = alignment.Tokenizers(Path(alignment.BYTE_MODEL).read_text(), Path(alignment.PIECE_MODEL).read_bytes())
+    tokenizers.a = Counted(tokenizers.a)
+    return alignment.Aligner(tokenizers)
+
+
+def test_new_chunks_are_encoded_many_at_a_time(aligner):
+    r = random.Random(6)
+    texts = [" ".join("".join(r.choice("abcdeio.,é") for _ in range(r.randint(2, 9))) for _ in range(200)) for _ in range(30)]
+    aligner.align(texts)
+    assert len(aligner.number) > 4000 and aligner.t.a.given < len(aligner.number) / 100
+
+
+@pytest.mark.parametrize("joined", [1, 2, 7])
+def test_chunks_encoded_together_have_the_ids_they_have_alone(aligner, monkeypatch, joined):
+    monkeypatch.setattr(alignment, "JOINED", joined)
+    chunks = [*dict.fromkeys(c for t in sample(7, 300) if t for c in alignment.CHUNKS.findall(" " + t))]
+    ids, sizes, whole = aligner.t.encode_a(chunks, [c.encode() for c in chunks])
+    ends = np.cumsum(sizes)
+    assert whole.all() and ends[-1] == len(ids)
+    for c, i, j in zip(chunks, [0, *ends[:-1]], ends):
+        assert ids[i:j].tolist() == aligner.t.a.a.encode(c, add_special_tokens=False).ids, c
+
+
+def test_a_chunk_that_a_does_not_tell_costs_only_its_texts(aligner):
+    texts = ["one two", "one Zürich two", "two", "Zürich"]
+    whole = aligner.align(texts)
+    aligner.forget()
+    for i in aligner.t.a.a.encode(" Zürich", add_special_tokens=False).ids:
+        aligner.t.a_bytes[i] = b""
+    total, digests, doc, *_ = aligner.align(texts)
+    assert [bool(d) for d in digests] == [True, False, True, False] and set(doc) == {0, 2}
+    assert digests[0] == whole[1][0] and total[[0, 2]].tolist() == whole[0][[0, 2]].tolist() and not total[[1, 3]].any()
+
+
+def test_one_key_and_two_keys_sort_alike():
+    r = np.random.default_rng(1)
+    group, value = r.integers(0, 50, 500), r.integers(0, 9, 500)
+    for big in (1, 1 << 58):  # times this, both do not fit into one key
+        order = alignment._order(group, value * big)
+        assert np.array_equal(np.stack((group, value))[:, order], np.stack((group, value))[:, np.lexsort((value, group))])
+
+
 def test_groups_break_where_both_sides_end():
     a, b = alignment.groups_of(np.array([2, 3, 1, 4]), np.array([2, 1, 1, 2, 2, 2]))
     assert a.tolist() == [0, 1, 1, 2] and b.tolist() == [0, 1, 1, 1, 2, 2]

@@ -7,7 +7,7 @@ where tokens of both sides end. Within a group every A token is linked with ever
 Texts are cut into chunks before a blank or line end that follows another character. No token of
 either side reaches over such a cut (checked for the merge model when it is read), so a chunk's
 tokens, groups and links are worked out once, for many new chunks together, and remembered within a
-bound on their characters.
+bound on their characters. A encodes new chunks that may follow one another as one text.
 
 How many documents hold an id pair linked is counted in two steps: each block of documents lists its
 pairs once, these lists are summed by pair, and the sums go back to the blocks that asked. A block
@@ -30,6 +30,7 @@ import re
 import sys
 import uuid
 from collections.abc import Iterator
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
@@ -50,6 +51,8 @@ CHUNKS = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
 BLOCK_CHARS = 1 << 21
 KNOWN_CHARS = 10 << 20  # characters of remembered chunks
 LONGEST_KNOWN = 1 << 10  # longer chunks are worked out each time
+JOINED = 1 << 10  # chunks that A encodes as one text
+PAIR_BITS = 24  # of the B id in an id pair
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -85,15 +88,41 @@ class Tokenizers:
                 self.b_bytes.append(piece.replace(BLANK, " ").encode())
                 if BLANK in piece.lstrip(BLANK) or "\n" in piece:
                     raise ValueError(f"piece {piece!r} reaches over the cuts between chunks")
-
-    def encode_a(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def encode_b(self, chunks: list[str]) -> list[list[int]]:
-        """The model puts a blank before every text: it is the chunk's own first blank, or cut off again with a line end after it."""
+        self.a_len, self.b_len = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.a_bytes, self.b_bytes))
+        # Every id as text after each mark that may stand before it.
+        self.a_said, self.b_said = (
+            np.array([[m + str(i) for i in range(len(x))] for m in marks], dtype=object) for x, marks in ((self.a_bytes, ("", ";", ",")), (self.b_bytes, ("|", ",")))
+        )
+
+    def encode_a(self, chunks: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all chunks, each chunk's number of ids, and whether they tell its bytes. Chunks that may follow one
+        another in a text are encoded as one, and its ids dealt out by bytes; if they do not tell these, chunk by chunk."""
+        ends = [i + 1 for i, c in enumerate(chunks) if c[-1].isspace() or chunks[min(i + 1, len(chunks) - 1)][0] not in " \n"]
+        ends = sorted({*ends, *range(JOINED, len(chunks), JOINED), len(chunks)})
+        ids = _flat([e.ids for e in self.a.encode_batch_fast(["".join(chunks[i:j]) for i, j in zip([0, *ends], ends)], add_special_tokens=False)])
+        if b"".join(map(self.a_bytes.__getitem__, ids.tolist())) == b"".join(raw):
+            token_ends = np.cumsum(self.a_len[ids])
+            chunk_ends = np.cumsum(np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)))
+            at = np.searchsorted(token_ends, chunk_ends)
+            if np.array_equal(token_ends[at], chunk_ends):
+                return ids, np.diff(at, prepend=-1), np.ones(len(chunks), dtype=bool)
+        return _told([e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)], self.a_bytes, raw)
+
+    def encode_b(self, chunks: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``encode_a``. The model puts a blank before every text: it is the chunk's own first blank, or cut off again with a line end after it."""
         own = [len(c) > 1 and c[0] == " " for c in chunks]
         ids = self.b.encode([c[1:] if o else "\n" + c for c, o in zip(chunks, own)], num_threads=1)
-        return [x if o else x[2:] for x, o in zip(ids, own)]
+        return _told([x if o else x[2:] for x, o in zip(ids, own)], self.b_bytes, raw)
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=sum(map(len, lists)))
+
+
+def _told(ids: list[list[int]], told: list[bytes], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all chunks, their numbers, and whether their bytes are the chunk's."""
+    whole = [b"".join([told[i] for i in x]) == r for x, r in zip(ids, raw)]
+    return _flat(ids), np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)), np.array(whole)
 
 
 def ranges(sizes: np.ndarray) -> np.ndarray:
@@ -122,43 +151,55 @@ def links_of(a_ids: np.ndarray, a_group: np.ndarray, b_ids: np.ndarray, b_group:
     first = np.cumsum(many) - many
     each = many[ga]
     at = np.repeat(first[ga], each) + ranges(each)
-    return np.repeat(ga, each), (np.repeat(ia, each) << 32) | ib[at], np.repeat(ta, each) * tb[at]
+    return np.repeat(ga, each), (np.repeat(ia, each) << PAIR_BITS) | ib[at], np.repeat(ta, each) * tb[at]
+
+
+def _order(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Positions by group and value, by one key if both fit into it."""
+    span = int(value.max(initial=0)) + 1
+    if int(group.max(initial=0)) < (1 << 62) // span:
+        return np.argsort(group * span + value)
+    return np.lexsort((value, group))
 
 
 def _tally(group: np.ndarray, value: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
     """Different (group, value), sorted, and how often each occurs."""
-    order = np.lexsort((value, group))
+    order = _order(group, value)
     g, v = group[order], value[order]
     new = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (v[1:] != v[:-1])))) if len(g) else np.zeros(0, dtype=np.int64)
     return (g[new], v[new]), np.diff(np.concatenate((new, [len(g)])))
 
 
+class Numbers(dict):
+    """Numbers chunks in the order in which they are first asked for."""
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = k = len(self)
+        return k
+
+
 class Aligner:
     """Aligns texts chunk by chunk; remembers chunks within bounds."""
 
     def __init__(self, tokenizers: Tokenizers) -> None:
         self.t = tokenizers
-        self.a_len = np.array([len(x) for x in tokenizers.a_bytes], dtype=np.int64)
-        self.b_len = np.array([len(x) for x in tokenizers.b_bytes], dtype=np.int64)
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.chars = 0
         self.said: list[str | None] = []  # a chunk's groups as text, None if its bytes are not told by the tokens
         self.counts = [np.zeros((0, len(COUNTS)), dtype=np.int64)]
         self.n_pairs, self.pair, self.times = ([np.zeros(0, dtype=np.int64)] for _ in range(3))
 
     def _learn(self, chunks: list[str]) -> None:
-        a, b = self.t.encode_a(chunks), self.t.encode_b(chunks)
-        whole = []
-        for c, x, y in zip(chunks, a, b):
-            raw = c.encode()
-            whole.append(b"".join([self.t.a_bytes[i] for i in x]) == raw and b"".join([self.t.b_bytes[i] for i in y]) == raw)
-        a, b = ([x if w else [] for x, w in zip(ids, whole)] for ids in (a, b))
-        n_a, n_b = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (a, b))
-        a_ids, b_ids = (np.array([i for x in ids for i in x], dtype=np.int64) for ids in (a, b))
-        a_group, b_group = groups_of(self.a_len[a_ids], self.b_len[b_ids])
+        raw = [c.encode() for c in chunks]
+        (a_ids, n_a, a_whole), (b_ids, n_b, b_whole) = self.t.encode_a(chunks, raw), self.t.encode_b(chunks, raw)
+        whole = a_whole & b_whole
+        if not whole.all():
+            a_ids, b_ids = a_ids[np.repeat(whole, n_a)], b_ids[np.repeat(whole, n_b)]
+            n_a, n_b = n_a * whole, n_b * whole
+        a_group, b_group = groups_of(self.t.a_len[a_ids], self.t.b_len[b_ids])
         total = int(a_group[-1]) + 1 if len(a_group) else 0
         chunk_of = np.zeros(total, dtype=np.int64)
         chunk_of[a_group] = np.repeat(np.arange(len(chunks)), n_a)
@@ -170,28 +211,26 @@ class Aligner:
         self.times.append(t)
         n_links = np.bincount(c, weights=t, minlength=len(chunks)).astype(np.int64)
         self.counts.append(np.stack((n_a, n_b, n_groups, n_links), axis=1))
-        a_said, b_said = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        a_at, b_at = (np.concatenate(([0], np.cumsum(np.bincount(x, minlength=total)))).tolist() for x in (a_group, b_group))
-        groups = [",".join(a_said[a_at[k] : a_at[k + 1]]) + "|" + ",".join(b_said[b_at[k] : b_at[k + 1]]) for k in range(total)]
-        at = np.concatenate(([0], np.cumsum(n_groups))).tolist()
-        self.said += [";".join(groups[at[k] : at[k + 1]]) if w else None for k, w in enumerate(whole)]
+        opens = np.diff(chunk_of, prepend=-1) > 0  # the first group of a chunk
+        a_new, b_new = np.diff(a_group, prepend=-1) > 0, np.diff(b_group, prepend=-1) > 0
+        said = np.empty(len(a_ids) + len(b_ids), dtype=object)
+        said[np.arange(len(a_ids)) + np.searchsorted(b_group, a_group)] = self.t.a_said[np.where(a_new, np.where(opens[a_group], 0, 1), 2), a_ids]
+        said[np.arange(len(b_ids)) + np.searchsorted(a_group, b_group, side="right")] = self.t.b_said[np.where(b_new, 0, 1), b_ids]
+        said, ends = said.tolist(), np.cumsum(n_a + n_b).tolist()
+        self.said += ["".join(said[i:j]) if w else None for i, j, w in zip([0, *ends], ends, whole.tolist())]
 
     def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Counts and digest of each text; and (text, pair, times) of its different linked id pairs."""
         if self.chars > KNOWN_CHARS:
             self.forget()
-        number, numbers, ends, new, passing = self.number, [], [], [], []
+        numbers, ends, first = [], [], len(self.number)
         for text in texts:
-            for c in CHUNKS.findall(" " + text) if text else ():
-                k = number.get(c)
-                if k is None:
-                    number[c] = k = len(number)
-                    new.append(c)
-                    self.chars += len(c) + 16
-                    if len(c) > LONGEST_KNOWN:
-                        passing.append(c)
-                numbers.append(k)
+            if text:
+                numbers += map(self.number.__getitem__, CHUNKS.findall(" " + text))
             ends.append(len(numbers))
+        new = list(islice(self.number, first, None))
+        self.chars += sum(map(len, new)) + 16 * len(new)
+        passing = any(len(c) > LONGEST_KNOWN for c in new)
         if new:
             self._learn(new)
         joined = [x if len(x) == 1 else [np.concatenate(x)] for x in (self.counts, self.n_pairs, self.pair, self.times)]
@@ -200,7 +239,7 @@ class Aligner:
         digests, good = [], np.zeros(len(texts), dtype=bool)
         begin = 0
         for i, end in enumerate(ends):
-            said = [self.said[k] for k in numbers[begin:end]]
+            said = list(map(self.said.__getitem__, numbers[begin:end]))
             good[i] = bool(said) and None not in said
             digests.append(hashlib.sha256(";".join(said).encode()).hexdigest() if good[i] else "")
             begin = end
@@ -221,7 +260,7 @@ def _sum(group: np.ndarray, value: np.ndarray, weight: np.ndarray) -> tuple[tupl
     """Different (group, value), sorted, and the sum of their weights."""
     if not len(group):
         return (group, value), weight
-    order = np.lexsort((value, group))
+    order = _order(group, value)
     g, v = group[order], value[order]
     new = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (v[1:] != v[:-1]))))
     return (g[new], v[new]), np.add.reduceat(weight[order], new)
@@ -278,7 +317,7 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
     """(pair, docs, best): how many documents hold a pair linked, and whether no pair with its A id is held by more."""
     counts = blocks.select(F.explode(F.arrays_zip("pairs", "held")).alias("x")).groupBy(F.col("x.pairs").alias("pair")).agg(F.sum("x.held").alias("docs"))
     counts = materialize(counts, "pair-counts")
-    a_id = F.shiftright("pair", 32)
+    a_id = F.shiftright("pair", PAIR_BITS)
     highest = counts.groupBy(a_id.alias("a_id")).agg(F.max("docs").alias("most"))
     # One row per id of vocabulary A: bounded whatever the number of documents.
     return counts.join(F.broadcast(highest), a_id == F.col("a_id")).select("pair", "docs", (F.col("docs") == F.col("most")).alias("best"))
