@@ -1,6 +1,7 @@
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -77,6 +78,31 @@ def test_whole_table_and_round_trip(spark, library):
     assert all(r["ids"] == library.encode(r["text"]) and r["decoded"] == r["text"] for r in out) and len(out) == docs.count()
 
 
+def test_decoding_takes_little_more_memory_than_its_texts():
+    pieces = sentencepieces.read_vocabulary().out
+    long = [i for i, x in enumerate(pieces) if len(x) >= 12]
+    ids = np.resize(np.array(long, dtype=np.int32), 400_000)
+    decoder, size = sentencepieces.Decoder(pieces), sum(len(pieces[i]) for i in ids.tolist())
+    tracemalloc.start()
+    try:
+        texts = decoder.decode(ids, np.array([len(ids) // 3, len(ids)]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    halves = np.split(ids, [len(ids) // 3])
+    assert texts == [b"".join([pieces[i] for i in x.tolist()]).decode().replace("▁", " ").removeprefix(" ") for x in halves]
+    assert peak < 10 * size  # 25 and more when the places of all bytes are held at once
+
+
+def test_small_slices_and_steps_change_nothing(docs, library, monkeypatch):
+    monkeypatch.setattr(sentencepieces, "SLICE_CHARS", 50)
+    monkeypatch.setattr(sentencepieces, "STEP_IDS", 7)
+    texts = [None, *EDGES, None, *random_texts(200, 5), ""]
+    out = sentencepieces.decode(sentencepieces.encode(docs(texts))).orderBy("doc_id").collect()
+    assert [r["ids"] for r in out] == [None if t is None else library.encode(t) for t in texts]
+    assert [r["decoded"] for r in out] == texts
+
+
 def test_edge_rows(docs, empty):
     rows = docs(["▁a", None, "", "same", "same"]).withColumnRenamed("lang", "row").withColumnRenamed("source", "IDS")
     out = sentencepieces.decode(sentencepieces.encode(rows)).orderBy("doc_id").collect()

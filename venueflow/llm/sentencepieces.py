@@ -21,6 +21,9 @@ Defined results: a null text has null ids and decodes to null; an empty text has
 outside the model becomes its UTF-8 bytes; the character U+2581 decodes as a blank; otherwise
 decoding gives the text back. Very long texts and words are encoded whole; repeated rows and null
 ids are handled row by row; other columns pass through.
+
+Texts and ids of a batch are handled in slices of about ``SLICE_CHARS``; ids become bytes ``STEP_IDS``
+at a time, also within one long text.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +54,8 @@ KNOWN_CHARS = 9 << 20  # characters of the words whose ids a task keeps, each co
 WORD_COST = 16
 LONGEST_KNOWN = 1 << 10  # longer words are encoded each time
 CUT_CHARS = 24  # longer words are cut where no piece can cross
-SLICE_CHARS = 1 << 22  # text handled at a time, whole texts only
+SLICE_CHARS = 1 << 20  # text, or ids, handled at a time, whole rows only
+STEP_IDS = 1 << 16  # ids whose bytes are taken at a time
 
 
 def merge(symbols: list[str], score: dict[str, float]) -> tuple[list[str], tuple[str, str] | None]:
@@ -387,8 +392,10 @@ def runs_of(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    return runs_of([len(t or "") for t in texts])
+def sizes_of(column: pa.Array) -> list[int]:
+    """Bytes of each text, or ids of each list."""
+    count = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+    return pc.fill_null(count(column), 0).to_pylist()
 
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = MODEL) -> DataFrame:
@@ -400,10 +407,11 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = M
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, j in slices(texts):
-                flat, ends = encoder.encode(texts[i:j])
-                offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32), mask=np.array([t is None for t in texts[i:j]] + [False]))
+            column = batch.column("text")
+            for i, j in runs_of(sizes_of(column)):
+                texts = column.slice(i, j - i).to_pylist()
+                flat, ends = encoder.encode(texts)
+                offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32), mask=np.array([t is None for t in texts] + [False]))
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(i, j - i), pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["row", "ids"])
 
     out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>")
@@ -411,18 +419,23 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = M
 
 
 class Decoder:
-    """Texts of id lists, whose bytes are taken from one table for all lists together."""
+    """Texts of id lists, whose bytes are taken from one table for all lists together, ``STEP_IDS`` at a time:
+    taking a byte needs some 24 bytes besides."""
 
     def __init__(self, out: list[bytes]) -> None:
         self.body = np.frombuffer(b"".join(out), dtype=np.uint8)
         self.size = np.array([len(x) for x in out], dtype=np.int64)
         self.start = np.cumsum(self.size) - self.size
 
+    def bytes_of(self, ids: np.ndarray) -> bytes:
+        sizes = self.size[ids]
+        upto = np.cumsum(sizes)
+        return self.body[np.repeat(self.start[ids] - upto + sizes, sizes) + np.arange(sizes.sum())].tobytes()
+
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
         """One text for each list of ids, which ends at ``ends``."""
-        sizes = self.size[ids]
-        upto = np.concatenate(([0], np.cumsum(sizes)))
-        said = self.body[np.repeat(self.start[ids] - upto[:-1], sizes) + np.arange(upto[-1])].tobytes()
+        said = b"".join([self.bytes_of(ids[i : i + STEP_IDS]) for i in range(0, len(ids), STEP_IDS)])
+        upto = np.concatenate(([0], np.cumsum(self.size[ids], dtype=np.int64)))
         out, begin = [], 0
         for end in upto[ends].tolist():
             text = said[begin:end].decode("utf-8", "replace").replace(BLANK, " ")
@@ -440,8 +453,8 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", model: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(pieces)
         for batch in batches:
-            sizes = batch.column("ids").value_lengths().fill_null(0).to_numpy()
-            for i, j in runs_of(sizes.tolist()):
+            sizes = sizes_of(batch.column("ids"))
+            for i, j in runs_of(sizes):
                 column = batch.column("ids").slice(i, j - i)
                 texts = decoder.decode(column.flatten().to_numpy(), np.cumsum(sizes[i:j]))
                 masked = pa.array(texts, pa.string(), mask=column.is_null().to_numpy(zero_copy_only=False))
