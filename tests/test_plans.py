@@ -1,10 +1,13 @@
 import datetime as dt
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from venueflow.operators import models
+from conftest import plan
+from venueflow import session
+from venueflow.operators import models, profiles
 from venueflow.plans import ensemble, runs
 from venueflow.plans.features import feature_frames, model_columns
 from venueflow.session import materialize
@@ -148,3 +151,19 @@ def test_ensemble_run(spark, csv_folder, tmp_path, options):
 
 def test_default_members_are_a_convex_blend(spark):
     assert sum(m.weight for m in runs.default_members()) == pytest.approx(1.0)
+
+
+def test_what_is_joined_has_a_row_per_store_and_large_sides_are_not_broadcast(spark, tables, monkeypatch):
+    """Targets hold 39 dates a store; as one side of a join they grew beyond the driver's memory."""
+    seen = []
+    plain = profiles.only_known
+    monkeypatch.setattr(profiles, "only_known", lambda df, keys, key: seen.append(keys.count()) or plain(df, keys, key))
+    before = [sorted(map(str, f.collect())) for f in frames(spark, tables, "st_a", "st_b", grouped="month")]
+    assert seen == [2, 2]
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
+    small = frames(spark, tables, "st_a", "st_b", grouped="month")
+    assert [sorted(map(str, f.collect())) for f in small] == before
+    # Stores, bookings and the two group profiles; what is left to broadcast is the calendar.
+    joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin) \[(\w+?)#", plan(small[0]))
+    assert {key for kind, key in joins if kind == "BroadcastHashJoin"} <= {"visit_date"}
+    assert {key for kind, key in joins if kind == "SortMergeJoin"} >= {"store_id", "area_name", "genre_name"}
