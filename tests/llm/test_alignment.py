@@ -168,3 +168,20 @@ def test_the_query_equals_plain_python(spark, sides):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op12_token_alignment"](spark, "/root/testdata/sf0.001").select("doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256")
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, sides)
+
+
+def test_rows_of_blocks_are_packed_and_few_to_a_file(spark, monkeypatch):
+    """Rows of some MB each, thousands to a file, overran the memory of readers."""
+    monkeypatch.setattr(alignment, "BLOCK_CHARS", 200)
+    monkeypatch.setattr(alignment, "FILE_BLOCKS", 3)
+    written = []
+    plain = alignment.materialize
+    monkeypatch.setattr(alignment, "materialize", lambda *a, **b: written.append(plain(*a, **b)) or written[-1])
+    rows = [(i, "the same words said again " * 4) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = alignment.align(df, "doc_id", "text").collect()
+    blocks = written[0]
+    assert blocks.count() > 10 and blocks.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 3
+    assert {f.name for f in blocks.schema if f.dataType.typeName() == "array"} == {"pairs", "held"}
+    # 40 documents hold every pair that one holds.
+    assert sorted(r["doc_id"] for r in out) == list(range(40)) and {r["count_sum"] for r in out} == {40 * out[0]["n_links"]}

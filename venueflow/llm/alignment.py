@@ -12,7 +12,8 @@ bound on their characters. A encodes new chunks that may follow one another as o
 How many documents hold an id pair linked is counted in two steps: each block of documents lists its
 pairs once, these lists are summed by pair, and the sums go back to the blocks that asked. A block
 holds about ``BLOCK_CHARS`` characters, so a frequent pair is one row a block. The highest count of
-each A id is one row per id of the vocabulary.
+each A id is one row per id of the vocabulary. What a block has to remember of its documents until
+the sums are back travels packed, and its rows are read a few at a time.
 
 Tokenizers are given as files, read on the driver and sent with the job. A: byte-level BPE, applied
 to a blank and the text; B: merge model with bytes, which adds the blank itself.
@@ -25,6 +26,7 @@ read; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import re
 import sys
@@ -52,6 +54,7 @@ BLOCK_CHARS = 1 << 21
 KNOWN_CHARS = 10 << 20  # characters of remembered chunks
 LONGEST_KNOWN = 1 << 10  # longer chunks are worked out each time
 JOINED = 1 << 10  # chunks that A encodes as one text
+FILE_BLOCKS = 16  # blocks in a file: a Parquet reader decodes all rows of a small file at once
 PAIR_BITS = 24  # of the B id in an id pair
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -267,9 +270,9 @@ def _sum(group: np.ndarray, value: np.ndarray, weight: np.ndarray) -> tuple[tupl
 
 
 def _blocks(docs: DataFrame, byte_model: str, piece_model: str) -> DataFrame:
-    """One row per block of documents: their counts and digests, and which of the block's pairs each links how often."""
+    """One row per block of documents: their ids, counts and digests (packed), which of the block's pairs each links how
+    often (packed), the pairs, and how many of its documents hold each."""
     models = (Path(byte_model).read_text(), Path(piece_model).read_bytes())
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -283,16 +286,37 @@ def _blocks(docs: DataFrame, byte_model: str, piece_model: str) -> DataFrame:
                 pairs, at = np.unique(linked, return_inverse=True)
                 held = np.bincount(at, minlength=len(pairs))
                 own = np.bincount(doc, minlength=j - i)
-                columns = [pa.array([uuid.uuid4().hex]), _one(batch.column("doc_id").slice(i, j - i)), _one(pa.array(digests, pa.string()))]
-                columns += [_one(pa.array(counts[:, k])) for k in range(len(COUNTS))]
-                columns += [_one(pa.array(x.astype(t))) for x, t in ((own, np.int32), (at, np.int32), (times, np.int64), (pairs, np.int64), (held, np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=BLOCK_NAMES)
+                rows = [batch.column("doc_id").slice(i, j - i), pa.array(digests, pa.string()), *[pa.array(counts[:, k]) for k in range(len(COUNTS))], pa.array(own)]
+                packed = _packed(rows, ["ids", "digests", *COUNTS, "own"]), _packed([pa.array(at.astype(np.int32)), pa.array(times.astype(np.int64))], ["at", "times"])
+                columns = [pa.array([x]) for x in (uuid.uuid4().hex, *packed)] + [_one(pa.array(x.astype(np.int64))) for x in (pairs, held)]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "rows", "links", "pairs", "held"])
+        aligner = None
+        _give_back()
 
-    schema = f"block string, ids array<{id_type}>, digests array<string>, " + ", ".join(f"{c} array<long>" for c in COUNTS)
-    return docs.mapInArrow(run, schema + ", own array<int>, at array<int>, times array<long>, pairs array<long>, held array<long>")
+    return docs.mapInArrow(run, "block string, rows binary, links binary, pairs array<long>, held array<long>")
 
 
-BLOCK_NAMES = ["block", "ids", "digests", *COUNTS, "own", "at", "times", "pairs", "held"]
+def _packed(columns: list[pa.Array], names: list[str]) -> bytes:
+    batch = pa.RecordBatch.from_arrays(columns, names=names)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(column: pa.ChunkedArray) -> dict[str, pa.Array]:
+    """The columns packed into the only value of ``column``."""
+    table = pa.ipc.open_stream(column[0].as_buffer()).read_all()
+    return {c: table.column(c).combine_chunks() for c in table.column_names}
+
+
+def _give_back() -> None:
+    """Freed memory goes back to the system: the same Python process also serves the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the GNU library
+        pass
 
 
 def _one(values: pa.Array) -> pa.Array:
@@ -331,13 +355,13 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_mode
     ``a1,a2|b1;a3|b2,b3``: the ids of each group.
     """
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    blocks = materialize(_blocks(rows, byte_model, piece_model), "aligned-blocks")
+    blocks = materialize(_blocks(rows, byte_model, piece_model), "aligned-blocks", file_rows=FILE_BLOCKS)
     asked = blocks.select(F.col("block").alias("asker"), F.posexplode("pairs").alias("pos", "pair"))
     told = asked.join(pair_counts(blocks).hint("merge"), "pair").select("asker", "pos", "docs", "best")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = {c: left.column(c).combine_chunks().flatten() for c in left.column_names if c != "block"}
+        row = _unpacked(left.column("rows")) | _unpacked(left.column("links"))
         pos = right.column("pos").to_numpy()
         docs_of, best = np.zeros(len(pos), dtype=np.int64), np.zeros(len(pos), dtype=np.int64)
         docs_of[pos], best[pos] = right.column("docs").to_numpy(), right.column("best").to_numpy()
@@ -350,7 +374,7 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_mode
         return pa.table([row["ids"], *[row[c] for c in COUNTS], pa.array(n_best), pa.array(count_sum), row["digests"]], names=[*OUT])
 
     schema = f"doc_id {id_type}, " + ", ".join(f"{c} long" for c in OUT[1:-1]) + ", groups_sha256 string"
-    blocks = blocks.select("block", "ids", "digests", *COUNTS, "own", "at", "times")
+    blocks = blocks.select("block", "rows", "links")
     return blocks.groupBy("block").cogroup(told.groupBy("asker")).applyInArrow(score, schema)
 
 
