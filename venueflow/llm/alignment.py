@@ -51,7 +51,7 @@ BLANK = "▁"
 # Chunks: blanks, then other characters up to a blank or line end; other white space may stand inside.
 CHUNKS = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
 BLOCK_CHARS = 1 << 21
-KNOWN_CHARS = 10 << 20  # characters of remembered chunks
+KNOWN_CHARS = 4 << 20  # characters of remembered chunks
 LONGEST_KNOWN = 1 << 10  # longer chunks are worked out each time
 JOINED = 1 << 10  # chunks that A encodes as one text
 FILE_BLOCKS = 16  # blocks in a file: a Parquet reader decodes all rows of a small file at once
